@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import pairs, pii, splits, tokens
+from quire.llm import neardup, pairs, pii, splits, tokens
 from quire.llm.common import table
 
 
@@ -36,6 +36,17 @@ def p3_records(s: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def p6_found(s: SparkSession, d: str) -> DataFrame:
+    """Runs of three words and at least 25 words, as the statement of the problem asks."""
+    got = neardup.pairs(table(s, d, "raw_blocks"), "block_uid", "clean_text", threshold=0.8, n=3, least_words=25)
+    return got.select(got.a.alias("block_uid_a"), got.b.alias("block_uid_b"))
+
+
+def p6_groups(s: SparkSession, d: str) -> DataFrame:
+    got = neardup.groups(table(s, d, "raw_blocks"), "block_uid", "clean_text", threshold=0.8, n=3, least_words=25)
+    return got.withColumnRenamed("id", "block_uid")
+
+
 def p8_ids(s: SparkSession, d: str) -> DataFrame:
     return tokens.encode_ids(table(s, d, "documents"))
 
