@@ -24,12 +24,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm.sketch import count_sketch, scale
 from quire.session import scratch_path
 
 _WORDS = re.compile(r"[^\W_]+").findall
 #: The sketch has 2**SKETCH_BITS counters, one byte each once they are broadcast.
 SKETCH_BITS = 22
-_CHUNK = 1 << 16
 #: Runs counted more often than this are dealt out by two runs of the path.
 HOT = 3_000
 #: Subtrees of this many sets are joined set by set.
@@ -126,39 +126,8 @@ def run_sets(df: DataFrame, key: str, text: str, n: int, least_words: int) -> Da
 
 
 def sketch(sets: DataFrame) -> np.ndarray:
-    """Counts of all runs by the low bits of their hash, saturated and on a scale of 256 steps; a fixed number of bytes."""
-    size = 1 << SKETCH_BITS
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.uint32)
-        for b in batches:
-            raw = b"".join(b.column(0).to_pylist())
-            total += np.bincount((np.frombuffer(raw, np.uint64) & np.uint64(size - 1)).astype(np.int64), minlength=size).astype(np.uint32)
-        for c in range(size // _CHUNK):
-            part = total[c * _CHUNK : (c + 1) * _CHUNK]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), _binary([part.tobytes()])], names=["chunk", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for b in batches:
-            for c, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                part = np.frombuffer(raw, np.uint32).astype(np.uint64)
-                sums[c] = sums[c] + part if c in sums else part
-        for c, v in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), _binary([scale(v).tobytes()])], names=["chunk", "counts"])
-
-    parts = sets.select("runs").mapInArrow(count, "chunk int, counts binary").repartition(16, "chunk").mapInArrow(add, "chunk int, counts binary")
-    out = np.zeros(size, np.uint8)
-    for r in parts.collect():  # size bytes in all
-        out[r.chunk * _CHUNK : (r.chunk + 1) * _CHUNK] = np.frombuffer(r.counts, np.uint8)
-    return out
-
-
-def scale(counts: np.ndarray) -> np.ndarray:
-    """Exact up to 32, then eight steps for each doubling."""
-    v = counts.astype(np.float64)
-    return np.where(v <= 32, v, np.minimum(255, 32 + np.floor(8 * np.log2(np.maximum(v, 1) / 32)))).astype(np.uint8)
+    """Counts of all runs by the low bits of their hash; a fixed number of bytes."""
+    return count_sketch(sets.select("runs"), lambda runs: np.frombuffer(b"".join(runs), np.uint64), SKETCH_BITS)
 
 
 def _postings(classes: DataFrame, counts: np.ndarray, bounds: Bounds) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import neardup, pairs, pii, splits, tokens
+from quire.llm import neardup, pairs, pii, splits, tokens, visual
 from quire.llm.common import table
 
 
@@ -47,6 +47,15 @@ def p6_groups(s: SparkSession, d: str) -> DataFrame:
     return got.withColumnRenamed("id", "block_uid")
 
 
+def p7_found(s: SparkSession, d: str) -> DataFrame:
+    got = visual.pairs(table(s, d, "raw_blocks"), "block_uid", "book_id", "raw_text")
+    return got.select(got.a.alias("block_uid_a"), got.b.alias("block_uid_b"))
+
+
+def p7_normalized(s: SparkSession, d: str) -> DataFrame:
+    return visual.normalized(table(s, d, "raw_blocks"), "block_uid", "raw_text")
+
+
 def p8_ids(s: SparkSession, d: str) -> DataFrame:
     return tokens.encode_ids(table(s, d, "documents"))
 

@@ -1,0 +1,75 @@
+"""Counts of hashed things over a whole corpus in a table of fixed size.
+
+Every task adds its things to 2**bits counters; tasks then add their tables chunk by chunk. What reaches the driver and is
+broadcast is one byte for each counter, whatever the size of the corpus: exact up to 32, then eight steps for each doubling.
+Things that share a counter share their count, so a count can be too high, never too low.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+_CHUNK = 1 << 16
+
+
+def scale(counts: np.ndarray) -> np.ndarray:
+    v = counts.astype(np.float64)
+    return np.where(v <= 32, v, np.minimum(255, 32 + np.floor(8 * np.log2(np.maximum(v, 1) / 32)))).astype(np.uint8)
+
+
+#: Counts that the 256 steps stand for.
+STEPS = [float(i) if i <= 32 else 32 * 2 ** ((i - 32) / 8) for i in range(256)]
+
+
+def count_sketch(df: DataFrame, hashes: Callable[..., np.ndarray], bits: int) -> np.ndarray:
+    """Counts of what ``hashes`` (called with the columns of a batch, as lists) returns for all rows of ``df``."""
+    size = 1 << bits
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.uint32)
+        held: list[np.ndarray] = []
+        n = 0
+
+        def flush() -> None:
+            nonlocal total, held, n
+            if held:
+                low = (np.concatenate(held) & np.uint64(size - 1)).astype(np.int64)
+                if n > size // 8:
+                    total += np.bincount(low, minlength=size).astype(np.uint32)
+                else:
+                    where, times = np.unique(low, return_counts=True)
+                    total[where] += times.astype(np.uint32)
+            held, n = [], 0
+
+        for b in batches:
+            held.append(hashes(*(c.to_pylist() for c in b.columns)))
+            n += len(held[-1])
+            if n > size:
+                flush()
+        flush()
+        for c in range(size // _CHUNK):
+            part = total[c * _CHUNK : (c + 1) * _CHUNK]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["chunk", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for c, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                part = np.frombuffer(raw, np.uint32).astype(np.uint64)
+                sums[c] = sums[c] + part if c in sums else part
+        for c, v in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([scale(v).tobytes()], pa.binary())], names=["chunk", "counts"])
+
+    out = np.zeros(size, np.uint8)
+    for r in df.mapInArrow(count, "chunk int, counts binary").repartition(16, "chunk").mapInArrow(add, "chunk int, counts binary").collect():
+        out[r.chunk * _CHUNK : (r.chunk + 1) * _CHUNK] = np.frombuffer(r.counts, np.uint8)
+    return out
+
+
+def count_of(table: np.ndarray, h: int) -> float:
+    return STEPS[table[h & (len(table) - 1)]]
