@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import neardup, pairs, pii, splits, tokens, visual
+from quire.llm import encoding, neardup, pairs, pii, splits, tokens, visual
 from quire.llm.common import table
 
 
@@ -36,6 +36,14 @@ def p3_records(s: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def p4_found(s: SparkSession, d: str) -> DataFrame:
+    return encoding.found(table(s, d, "raw_blocks"))
+
+
+def p4_restored(s: SparkSession, d: str) -> DataFrame:
+    return encoding.restored(table(s, d, "raw_blocks"))
+
+
 def p6_found(s: SparkSession, d: str) -> DataFrame:
     """Runs of three words and at least 25 words, as the statement of the problem asks."""
     got = neardup.pairs(table(s, d, "raw_blocks"), "block_uid", "clean_text", threshold=0.8, n=3, least_words=25)
