@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import encoding, neardup, pairs, pii, splits, tokens, visual
+from quire.llm import encoding, neardup, pairs, pii, scans, splits, tokens, visual
 from quire.llm.common import table
 
 
@@ -44,6 +44,18 @@ def p4_restored(s: SparkSession, d: str) -> DataFrame:
     return encoding.restored(table(s, d, "raw_blocks"))
 
 
+def _scan_tables(s: SparkSession, d: str) -> list[DataFrame]:
+    return [table(s, d, t) for t in ("raw_blocks", "page_data", "books", "toc")]
+
+
+def p5_found(s: SparkSession, d: str) -> DataFrame:
+    return scans.found(*_scan_tables(s, d))
+
+
+def p5_cleaned(s: SparkSession, d: str) -> DataFrame:
+    return scans.repaired(*_scan_tables(s, d))
+
+
 def p6_found(s: SparkSession, d: str) -> DataFrame:
     """Runs of three words and at least 25 words, as the statement of the problem asks."""
     got = neardup.pairs(table(s, d, "raw_blocks"), "block_uid", "clean_text", threshold=0.8, n=3, least_words=25)
