@@ -282,9 +282,8 @@ def _prepare(df: DataFrame, key: str, text: str, n: int, least_words: int) -> tu
     run_sets(df, key, text, n, least_words).write.parquet(path)
     sets = spark.read.parquet(path)
     members = sets.select("id", "set_id").distinct()
-    first = sets.groupBy("set_id").agg(F.min("id").alias("id"))
     classes_path = scratch_path(spark, "classes")
-    sets.join(first, ["set_id", "id"], "left_semi").dropDuplicates(["set_id"]).select("id", "set_id", "runs").write.parquet(classes_path)
+    sets.groupBy("set_id").agg(F.min("id").alias("id"), F.first("runs").alias("runs")).select("id", "set_id", "runs").write.parquet(classes_path)
     classes = spark.read.parquet(classes_path)
     return members, classes, sketch(classes)
 
