@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.sketch import count_sketch, scale
-from quire.session import scratch_path
+from quire.session import drop_path, scratch_path
 
 _WORDS = re.compile(r"[^\W_]+").findall
 #: The sketch has 2**SKETCH_BITS counters, one byte each once they are broadcast.
@@ -284,8 +284,11 @@ def _prepare(df: DataFrame, key: str, text: str, n: int, least_words: int) -> tu
     members = sets.select("id", "set_id").distinct()
     classes_path = scratch_path(spark, "classes")
     sets.groupBy("set_id").agg(F.min("id").alias("id"), F.first("runs").alias("runs")).select("id", "set_id", "runs").write.parquet(classes_path)
+    members_path = scratch_path(spark, "members")
+    members.write.parquet(members_path)
+    drop_path(spark, path)  # classes and members hold all of it now
     classes = spark.read.parquet(classes_path)
-    return members, classes, sketch(classes)
+    return spark.read.parquet(members_path), classes, sketch(classes)
 
 
 def pairs(df: DataFrame, key: str, text: str, threshold: float = 0.8, n: int = 5, least_words: int = 0) -> DataFrame:
