@@ -29,11 +29,23 @@ LOOK_ALIKES = CYRILLIC | GREEK | {"ɡ": "g", "ɑ": "a", "ⅼ": "l", "ⅽ": "c",
 _TO_CYRILLIC = {v: k for k, v in reversed(list(CYRILLIC.items()))}
 _TO_GREEK = {v: k for k, v in reversed(list(GREEK.items()))}
 
-_BLANK = re.compile(r"[\p{Zs}\t]")
-_NOTHING = re.compile(r"[­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ\U000e0100-\U000e01ef\U000e0020-\U000e007f]")
-_WIDE = re.compile(r"[＀-￯]+")
+#: Ranges of characters that show nothing.
+_NOTHING = ((0xAD, 0xAD), (0x34F, 0x34F), (0x61C, 0x61C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x206F), (0x3164, 0x3164), (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF), (0xFFA0, 0xFFA0), (0xE0020, 0xE007F), (0xE0100, 0xE01EF))
+
+
+def _table() -> dict[int, str | None]:
+    """Width forms to plain ones, blanks to a blank, and nothing for characters that show nothing."""
+    out: dict[int, str | None] = {c: unicodedata.normalize("NFKC", chr(c)) for c in range(0xFF00, 0xFFF0)}
+    out |= {c: " " for c in range(0x3001) if unicodedata.category(chr(c)) == "Zs" or c == 9}
+    out |= {c: None for lo, hi in _NOTHING for c in range(lo, hi + 1)}
+    return out
+
+
+_FOLDED = _table()
 _WORD = re.compile(r"[\p{L}\p{M}]+")
-_PLAIN_ASCII = re.compile(r"[\x20-\x7e\n]*")
+_ASCII_WORD = re.compile(r"[A-Za-z]+")
+#: Words of letters that other scripts share; any other letter rules out a rival spelling.
+_SHARED_WORD = re.compile(r"(?<![A-Za-z])[ABCEGHIJKMOPQSTWXYacdeghijlmopqsvwxy]{2,}(?![A-Za-z])")
 #: The vocabulary keeps this many of the most frequent words that are not plain ASCII or that a look-alike could stand for.
 MOST_WORDS = 50_000
 
@@ -42,15 +54,14 @@ _shape = str.maketrans(LOOK_ALIKES)
 
 def folded(text: str) -> str:
     """``text`` without width, sort of blank, ignorables and accent storage; letters keep their script."""
-    text = _NOTHING.sub("", _BLANK.sub(" ", text))
-    return unicodedata.normalize("NFC", _WIDE.sub(lambda m: unicodedata.normalize("NFKC", m[0]), text))
+    return unicodedata.normalize("NFC", text.translate(_FOLDED))
 
 
 def shape(text: str) -> str:
     """The shape of ``text``: equal for texts that look the same."""
     if text.isascii():
         return text.replace("\t", " ")
-    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", folded(text)).translate(_shape))
+    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text.translate(_FOLDED)).translate(_shape))
 
 
 def one_script(word: str) -> bool:
@@ -64,25 +75,39 @@ class Trie:
 
     def __init__(self) -> None:
         self.root: dict = {}
+        #: plain ASCII words whose canonical spelling is in another script
+        self.rivals: set[str] = set()
+        self._known: dict[str, str] = {}
 
     def add(self, word: str, count: int) -> None:
-        node = self.root
-        for c in shape(word):
+        node, look = self.root, shape(word)
+        for c in look:
             node = node.setdefault(c, {})
         if None not in node or (count, word) > (node[None][1], node[None][0]):
             node[None] = (word, count)
+            if look.isascii():
+                (self.rivals.discard if word == look else self.rivals.add)(look)
 
     def match(self, word: str) -> str | None:
         """Walk ``word`` through the trie: look-alikes and ignorables cost nothing, anything else ends the walk."""
         node = self.root
         for c in unicodedata.normalize("NFC", unicodedata.normalize("NFD", word).translate(_shape)):
-            if _NOTHING.match(c):
+            if (to := _FOLDED.get(ord(c), c)) is None:
                 continue
-            node = node.get(c)
+            node = node.get(to)
             if node is None:
                 return None
         return node[None][0] if None in node else None
 
+    def spelled(self, look: str) -> str:
+        """The canonical spelling of a word of shape ``look``: the trie's, or else the table's. Remembered up to a bound."""
+        got = self._known.get(look)
+        if got is None:
+            if len(self._known) > 300_000:
+                self._known.clear()
+            got = self._known[look] = self.match(look) or by_table(look)
+        return got
+
 
 def by_table(word: str) -> str:
     """The spelling of a word of this shape in the script of its unmistakable letters, Latin if there are none."""
@@ -98,18 +123,10 @@ def canonical(text: str | None, trie: Trie) -> str | None:
     """The one consistent form of ``text``; equal for texts that look the same."""
     if text is None:
         return None
-    if _PLAIN_ASCII.fullmatch(text):
-        return text if not trie.root else _WORD.sub(lambda m: trie.match(m[0]) or m[0], text) if _has_rivals(text, trie) else text
-    return _WORD.sub(lambda m: trie.match(m[0]) or by_table(m[0]), shape(text))
-
-
-def _has_rivals(text: str, trie: Trie) -> bool:
-    """Whether a word of this ASCII text is spelled in another script in the vocabulary."""
-    return any((c := trie.match(w)) is not None and c != w for w in set(_WORD.findall(text)) if not _SINGULAR.search(w))
-
-
-#: Letters that no other script shares: a word with one of them has no rival.
-_SINGULAR = re.compile(r"[bfklmnqrtuwzDFLNQRUVZ]")
+    look = shape(text)
+    if look.isascii() and (not trie.rivals or trie.rivals.isdisjoint(_ASCII_WORD.findall(look))):
+        return look
+    return _WORD.sub(lambda m: trie.spelled(m[0]), look)
 
 
 def vocabulary(df: DataFrame, text: str) -> Trie:
@@ -121,8 +138,12 @@ def vocabulary(df: DataFrame, text: str) -> Trie:
         for t in cols[text]:
             if not t:
                 continue
-            for w in _WORD.findall(t if t.isascii() else folded(t)):
-                if (not w.isascii() or not _SINGULAR.search(w)) and len(w) > 1:
+            if t.isascii():
+                for w in _SHARED_WORD.findall(t):
+                    c[w] = c.get(w, 0) + 1
+                continue
+            for w in _WORD.findall(folded(t)):
+                if len(w) > 1 and (not w.isascii() or _SHARED_WORD.fullmatch(w)):
                     c[w] = c.get(w, 0) + 1
         return {"word": list(c), "n": list(c.values())}
 
@@ -167,11 +188,11 @@ def pairs(df: DataFrame, key: str, within: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(looks, pa.binary()), pa.array(owns, pa.binary())], schema=schema)
 
     rows = df.where(F.col(key).isNotNull() & F.col(within).isNotNull() & (F.length(text) > 0)).select(F.col(key).cast("bigint"), F.col(within).cast("string"), text)
-    looks = rows.mapInArrow(run, "id bigint, place string, look binary, own binary")
-    # classes: (place, look) with more than one string
-    many = looks.groupBy("place", "look").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("place", "look")
     from quire.session import cut_lineage
 
+    looks = cut_lineage(rows.mapInArrow(run, "id bigint, place string, look binary, own binary"))
+    # classes: (place, look) with more than one string
+    many = looks.groupBy("place", "look").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("place", "look")
     members = cut_lineage(looks.join(many, ["place", "look"]).distinct())
     classes = members.select("place", "look", "own").distinct()
     rivals = classes.alias("x").join(classes.alias("y"), ["place", "look"]).where("x.own < y.own").select("place", F.col("x.own").alias("own"), F.col("y.own").alias("other"))
