@@ -50,6 +50,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def hub(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder and read from there: for tables that several steps read."""
+    path = scratch_path(df.sparkSession, "hub")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a table written under :func:`scratch_path` that nothing reads any more."""
     jvm = spark.sparkContext._jvm
