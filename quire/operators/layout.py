@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 
 #: Patterns of running heads, page numbers, watermarks and chapter openings.
-PRINT_MARK = r"(?i).*\.indd\s+\d+:\d+:\d+.*Page\s+\w+"
+PRINT_MARK = r"(?i)\.indd\s+\d+:\d+:\d+.*Page\s+\w+"
 WATERMARK = r"(?i)www\.[a-z0-9\-]+\.(info|org|com|net)"
 PAGE_NUMBER = r"(?i)^(\d{1,4}|[ivxlcdm]+)$"
 RUNNING_HEAD = r"(?i)^(Chapter\s+\d+|[A-Z0-9\s]{3,30}\s+\d{1,4})$"

@@ -14,6 +14,7 @@ from quire.operators.pipeline import Corpus
 from quire.plans import control
 from quire.plans import oracles as O
 from quire.sources.tables import table
+from quire.streaming import events
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +98,14 @@ def preview(k: Corpus, offset: int = 20, limit: int = 10) -> DataFrame:
     return C.raw(k.nodes()).select("book_id", "id", "page", "type", "text", joined("breadcrumbs")).orderBy("book_id", "page", "id").offset(offset).limit(limit)
 
 
+EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+
+
+def stream_rollup(s: SparkSession, d: str) -> DataFrame:
+    """The rollup of the event stream, run over all files that are there."""
+    return longs(events.drain(events.rollup(events.event_stream(s, d, EVENT_SCHEMA), 300)))
+
+
 def _doc_stats(df: DataFrame) -> DataFrame:
     t = F.coalesce("text", F.lit(""))
     return df.select("doc_id", T.word_count(t).alias("word_count"), F.length(t).alias("char_count"), T.token_estimate(t).alias("token_count"), F.sha2(F.col("text"), 256).alias("sha256"))
@@ -129,6 +138,7 @@ _LIST = (
     ("q_code_valid", lambda s, d: longs(_frame(s, _CODE_LINES).select("i", T.is_code(F.col("x")).alias("valid"))), f"SELECT i::BIGINT AS i, {O.is_code('x')} AS valid FROM (SELECT i, {O.strip('x')} AS x FROM {_values(_CODE_LINES)})"),
     ("q_code_language", lambda s, d: longs(_frame(s, _CODE_LINES).select("i", T.code_language(F.col("x")).alias("language"))), f"SELECT i::BIGINT AS i, {O.code_language('x')} AS language FROM {_values(_CODE_LINES)}"),
     ("q_doc_stats", _table("documents", _doc_stats), f"SELECT doc_id, {O.words("t")}::BIGINT AS word_count, length(t)::BIGINT AS char_count, {O.tokens('t')}::BIGINT AS token_count, CASE WHEN text IS NOT NULL THEN sha256(text) END AS sha256 FROM (SELECT *, coalesce(text, '') AS t FROM documents)"),
+    ("q_stream_rollup", stream_rollup, "SELECT bucket, count(*) AS n, round(avg(value), 6) AS mean, arg_max(value, (ts, event_id)) AS last, arg_min(value, (ts, event_id)) AS first FROM (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) // 300 * 300 AS bucket FROM events) GROUP BY bucket"),
     ("q_slug", _table("part", lambda p: p.select("p_partkey", F.concat(T.slug(F.col("p_name")), F.lit("_"), F.substring(F.sha2("p_name", 256), 1, 6)).alias("slug"))), "SELECT p_partkey, trim(substring(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), 1, 24), '_') || '_' || substring(sha256(p_name), 1, 6) AS slug FROM part"),
     ("q_exact_dedup", _table("documents", lambda t: t.where("text is not null").groupBy(F.sha2("text", 256).alias("sha256")).agg(F.min("doc_id").alias("keep"), F.count(F.lit(1)).alias("copies"))), "SELECT sha256(text) AS sha256, min(doc_id) AS keep, count(*) AS copies FROM documents WHERE text IS NOT NULL GROUP BY ALL"),
 )
