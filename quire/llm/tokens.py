@@ -174,6 +174,7 @@ def budget(blocks: DataFrame, docs: DataFrame, books: DataFrame, path: str = DEF
     doc = doc.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.struct("part", "source", "language", "genre", "block_type", "h")).alias("r")).select("r.*")
     doc = doc.groupBy(*doc.columns).agg(F.count(F.lit(1)).alias("n"))
     slices = blk.unionByName(doc)
+    slices = slices.groupBy(*[c for c in slices.columns if c != "n"]).agg(F.sum("n").alias("n"))
 
     texts = blocks.select(digest("clean_text").alias("h"), F.col("clean_text").alias("text")).unionByName(docs.select(digest("text").alias("h"), "text"))
     texts = texts.where(F.col("h").isNotNull()).dropDuplicates(["h"])
