@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import encoding, neardup, pairs, pii, scans, splits, tokens, visual
+from quire.llm import encoding, neardup, oracles, pairs, pii, scans, splits, tokens, visual
 from quire.llm.common import table
 
 
@@ -97,4 +97,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
