@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions import keys as K
 from quire.functions import text as T
 from quire.operators import compile as C
 from quire.operators import graph, layout
@@ -139,6 +140,9 @@ _LIST = (
     ("q_code_language", lambda s, d: longs(_frame(s, _CODE_LINES).select("i", T.code_language(F.col("x")).alias("language"))), f"SELECT i::BIGINT AS i, {O.code_language('x')} AS language FROM {_values(_CODE_LINES)}"),
     ("q_doc_stats", _table("documents", _doc_stats), f"SELECT doc_id, {O.words("t")}::BIGINT AS word_count, length(t)::BIGINT AS char_count, {O.tokens('t')}::BIGINT AS token_count, CASE WHEN text IS NOT NULL THEN sha256(text) END AS sha256 FROM (SELECT *, coalesce(text, '') AS t FROM documents)"),
     ("q_stream_rollup", stream_rollup, "SELECT bucket, count(*) AS n, round(avg(value), 6) AS mean, arg_max(value, (ts, event_id)) AS last, arg_min(value, (ts, event_id)) AS first FROM (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) // 300 * 300 AS bucket FROM events) GROUP BY bucket"),
+    ("q_doc_hash", _table("documents", lambda t: t.where("text is not null").select("doc_id", K.book_dir(F.sha2("text", 256)).alias("dir"), K.stage_key("inspect", "1", {"dpi": 300, "backend": "auto"}, F.array(F.sha2("text", 256), F.sha2(F.col("doc_id").cast("string"), 256))).alias("stage_key"))), """SELECT doc_id, substring(sha256(text), 1, 12) AS dir, substring(sha256('inspect|1|{"backend":"auto","dpi":300}|' || least(sha256(text), sha256(doc_id::VARCHAR)) || '|' || greatest(sha256(text), sha256(doc_id::VARCHAR))), 1, 16) AS stage_key FROM documents WHERE text IS NOT NULL"""),
+    ("q_quality_bucket", _corpus(lambda k: k.t("books").where("quality_score is not null").groupBy("book_id").agg(F.max("quality_score").alias("q")).groupBy(F.when(F.col("q") >= 0.95, "verified").when(F.col("q") >= 0.85, "good").when(F.col("q") >= 0.7, "review").otherwise("poor").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))), "SELECT CASE WHEN q >= 0.95 THEN 'verified' WHEN q >= 0.85 THEN 'good' WHEN q >= 0.7 THEN 'review' ELSE 'poor' END AS bucket, count(*) AS n FROM (SELECT book_id, max(quality_score) AS q FROM books WHERE quality_score IS NOT NULL GROUP BY ALL) GROUP BY ALL"),
+    ("q_record_kind", _table("sft_pairs", lambda t: t.groupBy("pair_id").agg(F.max(F.when(F.col("instruction").isNotNull(), 2).when(F.size("messages") > 0, 1).otherwise(0)).alias("r")).groupBy(F.element_at(F.array(F.lit("other"), F.lit("messages"), F.lit("instruction")), F.col("r") + 1).alias("kind")).agg(F.count(F.lit(1)).alias("n"))), "SELECT ['other', 'messages', 'instruction'][r + 1] AS kind, count(*) AS n FROM (SELECT pair_id, max(CASE WHEN instruction IS NOT NULL THEN 2 WHEN len(messages) > 0 THEN 1 ELSE 0 END) AS r FROM sft_pairs GROUP BY ALL) GROUP BY ALL"),
     ("q_slug", _table("part", lambda p: p.select("p_partkey", F.concat(T.slug(F.col("p_name")), F.lit("_"), F.substring(F.sha2("p_name", 256), 1, 6)).alias("slug"))), "SELECT p_partkey, trim(substring(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), 1, 24), '_') || '_' || substring(sha256(p_name), 1, 6) AS slug FROM part"),
     ("q_exact_dedup", _table("documents", lambda t: t.where("text is not null").groupBy(F.sha2("text", 256).alias("sha256")).agg(F.min("doc_id").alias("keep"), F.count(F.lit(1)).alias("copies"))), "SELECT sha256(text) AS sha256, min(doc_id) AS keep, count(*) AS copies FROM documents WHERE text IS NOT NULL GROUP BY ALL"),
 )
