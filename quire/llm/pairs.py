@@ -126,9 +126,10 @@ def is_copy(answer: str, sources: list[list[str]]) -> bool:
         if not own:
             continue
         for src in sources:
-            if not src or len(own) > 1.5 * len(src) + 4:
+            if not src or len(own) > 6 * len(src) + 4:
                 continue
-            rest = len(own) - tiled(own, src, 1 if len(own) < 4 else 2)
+            again = src * -(-len(own) // len(src))  # it may be given more than once
+            rest = len(own) - tiled(own, again, 1 if len(own) < 4 else 2)
             if rest <= max(1 if len(own) < 8 else 2, 0.15 * len(own)) and len(own) > 1:
                 return True
     return False

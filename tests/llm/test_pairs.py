@@ -12,7 +12,7 @@ MODEL = P.LanguageModel({(w, lang): 50 for lang, ws in {"en": "the of and a is w
         (None, "What is it?", None, "empty"), ("  \n​", "q", None, "empty"), ("**Solution:**", "q", None, "empty"), ("```\n```", "q", None, "empty"), ("N/A", "q", None, "empty"), ("[no answer]", "q", None, "empty"),
         ("I'm sorry, but I can't help with that.", "q", None, "refusal"), ("Unfortunately I am unable to assist. Is there anything else you need?", "q", None, "refusal"), ("Dazu kann ich leider nichts sagen.", "q", None, "refusal"), ("No puedo ayudar con eso.", "q", None, "refusal"),
         ("“I am sorry, I cannot help you,” said the keeper. The gate is closed.", "q", None, None), ("The driver cannot assist the loader here. It is full.", "q", None, None),
-        ("What does the queue do when it is full", "What does the queue do when it is full?", None, "copy"), ("Response:\nWHAT DOES THE QUEUE DO WHEN IT IS FULL?", "What does the queue do when it is full?", None, "copy"), ("4. Compare the lens with the ratio.", "Work out this.", "4. Compare the lens with the ratio.", "copy"),
+        ("What does the queue do when it is full", "What does the queue do when it is full?", None, "copy"), ("What does it do?\nWhat does it do?", "What does it do?", None, "copy"), ("Response:\nWHAT DOES THE QUEUE DO WHEN IT IS FULL?", "What does the queue do when it is full?", None, "copy"), ("4. Compare the lens with the ratio.", "Work out this.", "4. Compare the lens with the ratio.", "copy"),
         ("What does the queue do when it is full?\n\nIt drops the oldest entry and moves the head on by one place.", "What does the queue do when it is full?", None, None),
         ("Der Tisch ist auf dem Haus und das ist nicht die der.", "What does the queue do in the house?", None, "language"), ("Der Tisch ist auf dem Haus und das ist nicht.", "Translate this sentence into German.", "The queue is full.", None), ("Это полка и стена.", "What is the queue?", None, "language"),
         ("The queue drops the", "What?", None, "truncated"), ("The queue is (", "What?", None, "truncated"), ("See:\n\n```\nint x = 1;", "What?", None, "truncated"), ("The queue is full…", "What?", None, "truncated"), ("1. The queue is full.\n2.", "What?", None, "truncated"), ("It said “the queue is full.", "What?", None, "truncated"),
