@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators.ordering import running_count, with_neighbours, with_ordinal
+from quire.session import hub
 
 #: Patterns and words of front matter, indexes and headings that make no question.
 FRONT_MATTER = (
@@ -91,7 +92,7 @@ def pretrain(train: DataFrame, books: DataFrame) -> DataFrame:
         "book_id", "book_title", "grp", F.coalesce("o.title", "book_title").alias("chapter_title"), F.coalesce("o.page", F.lit(1)).alias("page_start"),
         F.when(F.col("o").isNull(), F.greatest(F.lit(1), "last")).otherwise(F.col("last")).alias("page_end"), T.word_count(F.col("text")).alias("word_count"), "text",
     )
-    kept = docs.where("word_count >= 40").where(~((F.col("page_start") < 25) & any_of(F.lower("chapter_title"), OPENING_TITLES)))
+    kept = hub(docs).where("word_count >= 40").where(~((F.col("page_start") < 25) & any_of(F.lower("chapter_title"), OPENING_TITLES)))
     whole = n.groupBy("book_id").agg(in_order(plain).alias("text"), F.first("total_pages").alias("page_end")).join(kept.select("book_id").distinct(), "book_id", "left_anti").join(books, "book_id")
     whole = whole.select("book_id", "book_title", F.lit(0).cast("bigint").alias("grp"), F.col("book_title").alias("chapter_title"), F.lit(1).alias("page_start"), "page_end", T.word_count(F.col("text")).alias("word_count"), "text")
     out = kept.unionByName(whole)
