@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from quire.operators import graph, layout
-from quire.operators.compile import rag, training, with_boilerplate
+from quire.operators.compile import chatml, code, pretrain, rag, sft, training, with_boilerplate
 from quire.operators.ordering import carry, running_count, with_neighbours, with_ordinal
 from quire.operators.spans import blocks, line_text, lines
 
@@ -91,6 +91,32 @@ def test_chunks_close_after_they_exceed(spark):
     assert [len(r.content.split()) for r in got] == [450, 150, 450] and [r.page for r in got] == [1, 1, 4] and got[2].breadcrumbs == ["Head"]
 
 
+def test_pairs_of_sections_code_and_exercises(spark):
+    prose = " ".join(["word"] * 40)
+    rows = [
+        ("section", "Stacks", "Stacks", ["One"]), ("paragraph", None, prose, ["One", "Stacks"]), ("code", None, "mov eax, 1\nret", ["One", "Stacks"]), ("paragraph", None, prose, ["One", "Stacks"]),
+        ("section", "Figure 3", "Figure 3", ["One"]), ("paragraph", None, prose, []), ("section", "Exercises", "Exercises:\n1. " + "do this one now please again " * 3 + "\n2. short\n3. " + "and then that one too today " * 3, []),
+    ]
+    n = spark.createDataFrame([("a", i, 40, f"n{i}", kind, title, text, None, "root", crumbs) for i, (kind, title, text, crumbs) in enumerate(rows)], NODE)
+    got = sft(training(n)).orderBy("id").collect()
+    assert [(r.id, r.category) for r in got] == [("sft_0001", "concept_qa"), ("sft_0002", "code_walkthrough"), ("sft_0003", "exercise"), ("sft_0004", "exercise")]
+    assert got[0].instruction == "Explain the architecture and technical mechanics of Stacks in One in detail." and "```x86_asm" in got[0].output
+    assert got[1].input == "```x86_asm\nmov eax, 1\nret\n```" and got[2].input.startswith("1. do")
+    turns = chatml(sft(training(n))).orderBy("id").first().messages
+    assert [t.role for t in turns] == ["system", "user", "assistant"]
+    c = code(n).collect()
+    assert [(r.code_id, r.language, r.line_count, r.surrounding_context) for r in c] == [("code_0001", "x86_asm", 2, f"{prose}\n\n{prose}")]
+
+
+def test_documents_and_their_fallback(spark):
+    long, short = " ".join(["w"] * 60), "few words"
+    rows = [("a", "paragraph", None, long, 0), ("a", "chapter", "Chapter 1", "Chapter 1", 2), ("a", "section", "Part", "Part", 2), ("a", "paragraph", None, long, 4), ("a", "chapter", "About the Author", "About the Author", 5), ("a", "paragraph", None, long, 5), ("b", "paragraph", None, short, 3)]
+    n = spark.createDataFrame([(b, i, p, f"n{i}", kind, title, text, None, "root", []) for i, (b, kind, title, text, p) in enumerate(rows)], NODE)
+    books = spark.createDataFrame([("a", "Book A"), ("b", "Book B")], "book_id string, book_title string")
+    got = {(r.book_id, r.doc_id): (r.chapter_title, r.page_start, r.page_end, r.word_count) for r in pretrain(training(n), books).collect()}
+    assert got == {("a", "doc_000"): ("Book A", 1, 1, 60), ("a", "doc_001"): ("Chapter 1", 3, 5, 65), ("b", "doc_000"): ("Book B", 1, 4, 2)}
+
+
 def test_empty_tables(spark):
     b = layout.blocks(spark.createDataFrame([], RAW))
     b = layout.typed(layout.structure(layout.reading_order(layout.furniture(b, layout.pages(spark.createDataFrame([], PAGES)))), spark.createDataFrame([], TOC)))
