@@ -166,10 +166,12 @@ class Reader:
             while (deeper := unravel(deep)) is not None:
                 deep, gain = deeper, max(gain, self.score(deeper, False) - here)
             new = [c for c in deep if c > "\x7f"]
-            sound = all(_USUAL.match(c) for c in new) and (len(new) > 1 or gain > 0.5) or len(new) > 3
-            return [("utf-8", max(gain, 4.0))] if sound and gain > -1.0 else []
-        if here > math.log(200) or len(piece) < 2:
-            return []  # the corpus knows it, or there is too little to tell
+            # what no meant text has tells it whatever the counts, which grow with the corpus for a piece of unknown reading
+            plain = _ODD.search(piece) is not None and _ODD.search(deep) is None
+            sound = all(_USUAL.match(c) for c in new) and (len(new) > 1 or gain > 0.5 or plain) or len(new) > 3
+            return [("utf-8", max(gain, 4.0))] if sound and (gain > -1.0 or plain) else []
+        if len(piece) < 2:
+            return []  # there is too little to tell
         margin = MARGIN if len(piece) > 2 else 4.0
         if (look := shape(piece)) != piece and _ODD.sub("", look) == look and self.score(look, False) > here:
             return []  # letters of another script with the same shape

@@ -1,6 +1,10 @@
 import random
 
+import numpy as np
+import xxhash
+
 from quire.llm import encoding as E
+from quire.llm.sketch import scale
 
 SCHEMA = "block_uid bigint, book_id string, raw_text string, piece string, swap string, id string"
 CLEAN = ["La crème épaisse protège la forêt gelée.", "Größe und Maß, Öl und Wärme.", "El pájaro encontró la canción.", "It’s said that “the quarry” is closed – see §4.", "Старый мост меняет горячий хлеб.", "Temperature 12 °C, ±2 and x² or y½.", "A brand like Korvex™ is kept…"]
@@ -33,5 +37,33 @@ def test_found_and_restored(spark):
     assert fixed[1006].startswith("La crème")
 
 
+def reader(texts, times):
+    """A reader of a corpus of ``texts``, each repeated ``times`` times."""
+    counts = np.zeros(1 << E.SKETCH_BITS, np.uint64)
+    for piece in (p for t in texts for p in E.pieces_of(t)):
+        for u in E.units(piece):
+            counts[xxhash.xxh64_intdigest(u) & (len(counts) - 1)] += times
+    return E.Reader(scale(counts))
+
+
+def test_readings_whatever_the_size_of_the_corpus():
+    bad = {"cp1252>cp1251": garble("хлеб", "cp1252", "cp1251"), "cp850>cp1252": garble("épaisse", "cp850", "cp1252"), "utf-8": garble("“Þórz", "cp1252")}
+    texts = CLEAN * 200 + [*bad.values()] * 2
+    for times in (1, 100, 1000, 100_000):
+        r = reader(texts, times)
+        for swap, piece in bad.items():
+            assert swap in [s for s, _ in r.readings(piece)], (swap, times)
+        assert not any(r.readings(p) for t in CLEAN for p in E.pieces_of(t))
+
+
+def test_found_in_rows_repeated_a_thousand_times(spark):
+    bad = {50: garble(CLEAN[4], "cp1252", "cp1251"), 51: garble(CLEAN[0], "cp850", "cp1252"), 52: "A note " + garble("“Þórz", "cp1252")}
+    rows = [(i, "b1", CLEAN[i % 7]) for i in range(50) for _ in range(7)] + [(u, "b1", t) for u, t in bad.items()]
+    df = spark.createDataFrame(rows, "block_uid bigint, book_id string, raw_text string")
+    many = df.crossJoin(spark.range(1000)).selectExpr("block_uid * 1000 + id AS block_uid", "book_id", "raw_text")
+    got = E.found(many).selectExpr("block_uid div 1000 AS u").groupBy("u").count().collect()
+    assert {r.u: r["count"] for r in got} == {u: 1000 for u in bad}
+
+
 def test_empty(spark):
     assert E.found(spark.createDataFrame([], SCHEMA)).count() == 0
