@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -31,10 +32,15 @@ def rollup(events: DataFrame, seconds: int, lateness: str = "10 minutes") -> Dat
 
 
 def tail(events: DataFrame, handle: Callable[[list], None], most: int = 50, every: str = "1 second"):
-    """Hand at most ``most`` events of each batch, in order of id, to ``handle``. Returns the running query."""
+    """Hand all events of each batch, in order of id, to ``handle``, at most ``most`` at a time. Returns the running query.
+
+    The driver holds one partition of a batch at a time. A batch that fails midway is handed on again from its start.
+    """
 
     def batch(df: DataFrame, _: int) -> None:
-        handle(df.orderBy("event_id").limit(most).collect())
+        rows = df.orderBy("event_id").toLocalIterator()
+        while page := list(islice(rows, most)):
+            handle(page)
 
     return events.writeStream.foreachBatch(batch).trigger(processingTime=every).start()
 

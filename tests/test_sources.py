@@ -52,3 +52,18 @@ def test_streams(spark, tmp_path):
         cost = i * 5.0 if i == 0 else 0.3 * i * 5.0 + 0.7 * cost
     r = events.drain(events.smoothed_cost(work), "update").first()
     assert r.n == 12 and abs(r.cost - cost) < 1e-9
+
+
+def test_tail_hands_on_every_event(spark, tmp_path):
+    df = spark.range(1230).selectExpr("(id * 7) % 1230 AS event_id", "timestamp_seconds(id) AS ts")
+    df.repartition(3).write.parquet(str(tmp_path / "in"))
+    pages = []
+    q = events.tail(events.event_stream(spark, str(tmp_path / "in"), "event_id BIGINT, ts TIMESTAMP", "*.parquet"), pages.append)
+    try:
+        q.processAllAvailable()
+        assert [r.event_id for p in pages for r in p] == list(range(1230)) and max(map(len, pages)) == 50
+        spark.range(1230, 1300).selectExpr("id AS event_id", "timestamp_seconds(id) AS ts").write.mode("append").parquet(str(tmp_path / "in"))
+        q.processAllAvailable()
+        assert sorted(r.event_id for p in pages for r in p) == list(range(1300))
+    finally:
+        q.stop()
