@@ -1,10 +1,11 @@
 """Problem 7: visually identical text with different characters.
 
 A table gives the shape of each character: width forms are folded, accents stored one way, blanks are one sort, characters
-that show nothing have no shape, look-alike letters of other scripts share one. A trie holds the vocabulary of the corpus
-by shape; an automaton that moves for free along look-alikes and stays for free on ignorables leads each word to the
-canonical spelling there: the most frequent one that is written in one script. Words that the trie doesn't hold are
-spelled by the table, in the script of their unmistakable letters.
+that show nothing have no shape, look-alike letters of other scripts share one. The whole text is folded by this table first;
+which texts look the same is decided by the table alone. A trie then holds the vocabulary of the corpus by shape and gives
+each word its canonical spelling: the most frequent one that is written in one script. As words reach it folded, its walk is
+a lookup without weights or free moves left to make. Words that the trie doesn't hold are spelled by the table, in the
+script of their unmistakable letters.
 
 Defined results: NULL stays NULL; an empty text or one of nothing but ignorables gives an empty text.
 """
