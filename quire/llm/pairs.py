@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import regex as re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,13 +65,17 @@ _SENTENCE = re.compile(r"(?<=[.!?…。!?])[\"”’»)]*\s+|\n+")
 def is_refusal(answer: str) -> bool:
     """Whether every sentence outside quotations declines to answer or is a courtesy that goes with it."""
     bare = _LEAD.sub("", answer).strip()
-    if len(bare) > 600 or bare[:1] in "“\"«„‘":
+    if bare[:1] in "“\"«„‘":
         return False
-    said = [s for s in (x.strip() for x in _SENTENCE.split(bare)) if _LETTERS.search(s)]
-    if not said:
-        return False
-    kinds = [2 if any(r.search(s) for r in _REFUSALS) else 1 if _COURTESY.search(s) else 0 for s in said]
-    return 2 in kinds and 0 not in kinds
+    declined = False
+    for s in (x.strip() for x in _SENTENCE.split(bare)):
+        if not _LETTERS.search(s):
+            continue
+        if any(r.search(s) for r in _REFUSALS):
+            declined = True
+        elif not _COURTESY.search(s):
+            return False
+    return declined
 
 
 # --- emptiness -------------------------------------------------------------------------------------------------------
@@ -88,20 +93,9 @@ def tiled(a: list[str], b: list[str], least: int = 2) -> int:
     where: dict[str, list[int]] = {}
     for j, w in enumerate(b):
         where.setdefault(w, []).append(j)
+    search = _longest_dense if sum(len(where.get(w, ())) for w in a) > _DENSE else _longest
     while True:
-        best: list[tuple[int, int]] = []
-        longest = least
-        for i in range(len(a)):
-            if not free_a[i]:
-                continue
-            for j in where.get(a[i], ()):
-                k = 0
-                while i + k < len(a) and j + k < len(b) and free_a[i + k] and free_b[j + k] and a[i + k] == b[j + k]:
-                    k += 1
-                if k > longest:
-                    longest, best = k, [(i, j)]
-                elif k == longest:
-                    best.append((i, j))
+        longest, best = search(a, b, where, free_a, free_b, least)
         if not best:
             return total
         for i, j in best:
@@ -111,6 +105,46 @@ def tiled(a: list[str], b: list[str], least: int = 2) -> int:
                 total += longest
 
 
+#: Pairs of equal words from which run lengths are worked out row by row; both ways give the same tiles.
+_DENSE = 5000
+
+
+def _longest(a: list[str], b: list[str], where: dict[str, list[int]], free_a: list[bool], free_b: list[bool], least: int) -> tuple[int, list[tuple[int, int]]]:
+    """The longest runs of free words that ``a`` and ``b`` share, of ``least`` words at least, as (length, places)."""
+    best: list[tuple[int, int]] = []
+    longest = least
+    for i in range(len(a)):
+        if not free_a[i]:
+            continue
+        for j in where.get(a[i], ()):
+            k = 0
+            while i + k < len(a) and j + k < len(b) and free_a[i + k] and free_b[j + k] and a[i + k] == b[j + k]:
+                k += 1
+            if k > longest:
+                longest, best = k, [(i, j)]
+            elif k == longest:
+                best.append((i, j))
+    return longest, best
+
+
+def _longest_dense(a: list[str], b: list[str], where: dict[str, list[int]], free_a: list[bool], free_b: list[bool], least: int) -> tuple[int, list[tuple[int, int]]]:
+    """As ``_longest``, in time that doesn't depend on how long the runs are."""
+    spots = {w: np.array(js) for w, js in where.items()}
+    open_ = np.array(free_b)
+    below, rows, longest = np.zeros(len(b) + 1, np.int32), [], least
+    for i in range(len(a) - 1, -1, -1):
+        run = np.zeros(len(b) + 1, np.int32)
+        if free_a[i] and (js := spots.get(a[i])) is not None:
+            js = js[open_[js]]
+            run[js] = below[js + 1] + 1
+            if len(js) and (top := int(run[js].max())) >= longest:
+                if top > longest:
+                    longest, rows = top, []
+                rows.append((i, js[run[js] == longest]))
+        below = run
+    return longest, [(i, int(j)) for i, js in reversed(rows) for j in js]
+
+
 def words(text: str | None) -> list[str]:
     return [w.casefold() for w in _WORD.findall(text or "")]
 
@@ -125,12 +159,14 @@ def is_copy(answer: str, sources: list[list[str]]) -> bool:
         own = words(text)
         if not own:
             continue
+        most = max(1 if len(own) < 8 else 2, 0.15 * len(own))
         for src in sources:
-            if not src or len(own) > 6 * len(src) + 4:
-                continue
+            have = set(src)
+            if not src or sum(w not in have for w in own) > most:
+                continue  # no tile covers a word that the source doesn't have
             again = src * -(-len(own) // len(src))  # it may be given more than once
             rest = len(own) - tiled(own, again, 1 if len(own) < 4 else 2)
-            if rest <= max(1 if len(own) < 8 else 2, 0.15 * len(own)) and len(own) > 1:
+            if rest <= most and len(own) > 1:
                 return True
     return False
 

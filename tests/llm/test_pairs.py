@@ -51,6 +51,26 @@ def test_tiling_against_brute_force():
         assert P.tiled(a, b, 2) == brute_tiling(a, b, 2)
 
 
+def test_dense_tiling_gives_the_same_tiles(monkeypatch):
+    import random
+
+    rnd = random.Random(6)
+    cases = [[[rnd.choice("abcd") for _ in range(rnd.randint(0, 25))] for _ in "ab"] for _ in range(80)]
+    got = [P.tiled(a, b, n) for a, b in cases for n in (1, 2)]
+    monkeypatch.setattr(P, "_DENSE", -1)
+    assert [P.tiled(a, b, n) for a, b in cases for n in (1, 2)] == got
+
+
+def test_long_refusals_and_copies():
+    refusal = "I'm sorry, but I can't help with that. " * 20 + "Please consult a professional."
+    assert len(refusal) > 600 and P.classify(refusal, "What is the queue?", None, "en", MODEL) == "refusal"
+    assert P.classify(refusal + " The queue is full.", "What is the queue?", None, "en", MODEL) is None
+    q = "What does the queue do when it is full?"
+    for times in (8, 9, 400):
+        assert P.classify("\n".join([q] * times), q, None, "en", MODEL) == "copy"
+    assert P.classify("It is full when the queue is full. " * 9 + "Nothing of the kind happens to stacks, heaps, trees, graphs, rings or ropes, though.", q, None, "en", MODEL) is None
+
+
 def test_tables(spark):
     m = [("system", "s"), ("user", "What does the queue do?"), ("assistant", None)]
     rows = [(1, "What is the queue?", None, "The queue is a list.", None, "en", "x", 1), (1, "What is the queue?", None, "The queue is a list.", None, "en", "y", 2), (2, None, None, None, m, None, None, None), (3, None, None, None, None, None, None, None), (None, "q", None, "", None, "en", None, None), (4, "What?", "", "x " * 50_000, [], "EN", None, None)]
