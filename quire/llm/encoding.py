@@ -13,6 +13,7 @@ texts are not garbled; a replacement character makes a text garbled, and it is r
 from __future__ import annotations
 
 import math
+import unicodedata
 from collections.abc import Iterator
 from itertools import product
 
@@ -48,6 +49,9 @@ _LOST = "�"
 #: What no meant text has: signs within or before a word, and blanks or controls that show nothing.
 _ODD = re.compile(r"\p{L}[^\p{L}\p{M}\p{N}\p{P}]\p{L}|\p{L}[„“”«»¿¡…†‡•‰]\p{L}|(?<![\p{L}\p{N}])[^\p{L}\p{M}\p{N}\p{P}\p{Z}$€£#@+~]\p{L}{2}|[‰·†‡]\p{L}|\p{L}[‰·†‡‚„]|\p{L}[¹²³§¤°±]\p{L}|[¹²³§¤ªº°±]\p{L}{2}|[\x80-\xa0\xad]|\p{Lu}\p{Ll}+\p{Lu}|\p{Ll}\p{Lu}")
 
+#: What ``_ODD`` has and meant text may have too: blanks and hyphens that show nothing, words that run together.
+_UNSEEN = re.compile(r"[\xa0\xad]|(?<=[^\x00-\x7f])(?=[A-Z])")
+
 
 def _to_byte(page: str) -> dict[int, int]:
     """Code point to byte; bytes that a page leaves undefined stand for the control character of their number."""
@@ -162,13 +166,16 @@ class Reader:
         here = self.score(piece, True)
         if out is not None:
             # well-formed UTF-8 by chance is rare; only text that the corpus knows far better than its reading stays
-            deep, gain = out, self.score(out, False) - here
-            while (deeper := unravel(deep)) is not None:
-                deep, gain = deeper, max(gain, self.score(deeper, False) - here)
+            deep = self.unravelled(piece)
+            gain = max(self.score(out, False), self.score(deep, False)) - here
             new = [c for c in deep if c > "\x7f"]
             # what no meant text has tells it whatever the counts, which grow with the corpus for a piece of unknown reading
-            plain = _ODD.search(piece) is not None and _ODD.search(deep) is None
-            sound = all(_USUAL.match(c) for c in new) and (len(new) > 1 or gain > 0.5 or plain) or len(new) > 3
+            plain = _ODD.search(_UNSEEN.sub("-", piece)) is not None and _ODD.search(deep) is None
+            if all(_USUAL.match(c) for c in new):
+                sound = len(new) > 1 or gain > 0.5 or plain
+            else:
+                sound = gain > 0.5 or plain or len(new) > 3
+                sound = sound and all(unicodedata.category(c)[0] in "LMNPSZ" or c in piece for c in new)
             return [("utf-8", max(gain, 4.0))] if sound and (gain > -1.0 or plain) else []
         if len(piece) < 2:
             return []  # there is too little to tell
@@ -185,27 +192,44 @@ class Reader:
                 found.append((f"{name[0]}>{name[1]}", gain))
         return found
 
+    def unravelled(self, piece: str) -> str:
+        """``piece`` unravelled as often as that goes and the corpus doesn't know the text far better than what comes next."""
+        out = unravel(piece) or piece
+        while (deeper := unravel(out)) is not None:
+            if self.score(deeper, False) < self.score(out, False) - 4.0 and (_ODD.search(out) is None or _ODD.search(deeper)):
+                break
+            out = deeper
+        return out
+
     def restore(self, piece: str, swap: str) -> str:
         if swap == "lost":
             return self.fill(piece)
         if swap == "utf-8":
-            out = piece
-            while (deeper := unravel(out)) is not None and self.score(deeper, False) >= self.score(out, True) - 4.0:
-                out = deeper
-            return out
+            return self.unravelled(piece)
         a, _, b = swap.partition(">")
         return piece.translate(SWAPS[a, b])
 
-    #: Letters that a lost character may have been.
-    LETTERS = "éèêàâçïîôûùñóáíúüöäßãõëœÉÀÇÜÖÄÑÓÁÍÚ’‘“”–—…°±²½§"
+    #: Letters and signs that a lost character may have been: the usual ones first, then all of Latin,
+    #: Greek, Cyrillic and Vietnamese, small letters before capitals.
+    USUAL = "éèêàâçïîôûùñóáíúüöäßãõëœÉÀÇÜÖÄÑÓÁÍÚ’‘“”–—…°±²½§"
+    MORE = (chr(c) for lo, hi in ((0x400, 0x460), (0xA1, 0x250), (0x370, 0x400), (0x1E00, 0x1F00)) for c in range(lo, hi) if unicodedata.category(chr(c))[0] == "L")
+    LETTERS = tuple(dict.fromkeys([*USUAL, *sorted(MORE, key=str.isupper)]))
 
     def fill(self, piece: str) -> str:
         """The known reading of a piece with up to two lost characters, or the piece itself."""
-        n = piece.count(_LOST)
-        if not 0 < n <= 2:
+        places = [i for i, c in enumerate(piece) if c == _LOST]
+        if not 0 < len(places) <= 2:
             return piece
-        best, top = piece, math.log(5.0)
-        for letters in product(self.LETTERS, repeat=n):
+        least = 5.0
+
+        def fits(i: int, c: str) -> bool:
+            # a reading is as well known as its rarest pair at most
+            near = [piece[i - 1] + c] if i else []
+            near += [c + piece[i + 1]] if i + 1 < len(piece) else []
+            return all(_LOST in p or self.count("\0" + p.lower()) + 0.1 > least for p in near)
+
+        best, top = piece, math.log(least)
+        for letters in product(*([c for c in self.LETTERS if fits(i, c)] for i in places)):
             out = piece
             for c in letters:
                 out = out.replace(_LOST, c, 1)

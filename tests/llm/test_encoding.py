@@ -65,5 +65,16 @@ def test_found_in_rows_repeated_a_thousand_times(spark):
     assert {r.u: r["count"] for r in got} == {u: 1000 for u in bad}
 
 
+def test_readings_beyond_the_usual_letters():
+    texts = (CLEAN + ["раз", "Việt Nam", "тёплый хлеб"]) * 40
+    r = reader(texts, 1)
+    for text in ("Việt", "раз", "😀", "Tiếng"):
+        bad = garble(text, "cp1252")
+        assert [s for s, _ in r.readings(bad)] == ["utf-8"] and r.restore(bad, "utf-8") == text
+    assert not any(r.readings(p) for t in (*texts, "Fuß\xadball", "caffè”…", "esteja\xa0à", "аѕ\xa0the", "спиThe") for p in E.pieces_of(t))
+    for lost, text in (("х�еб", "хлеб"), ("т�п�ый", "тёплый"), ("Vi�t", "Việt"), ("cr�me", "crème")):
+        assert r.fill(lost) == text
+
+
 def test_empty(spark):
     assert E.found(spark.createDataFrame([], SCHEMA)).count() == 0
