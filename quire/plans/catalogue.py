@@ -60,6 +60,11 @@ def _typed_values(s: SparkSession, _: str) -> DataFrame:
 _TYPED_SQL = f"WITH st AS (SELECT i, x AS raw_text, x AS txt, false AS is_mono, 'paragraph' AS block_type FROM {_values(_TYPED_LINES)}), " + ", ".join(f"{k} AS ({O.STEPS[k]})" for k in ("ty0", "ty1", "ty")) + " SELECT i::BIGINT AS i, block_type, language FROM ty"
 
 
+def _whole_words(c: str) -> str:
+    """``c`` with a word character for each letter beyond ASCII, which word boundaries of the SQL engine would take for a gap."""
+    return f"regexp_replace({c}, '[^\\P{{L}}\\x00-\\x7F]', '_', 'g')"
+
+
 def _born_digital(k: Corpus) -> DataFrame:
     p = k.pages()
     n = p.groupBy("book_id").agg((F.max("page_idx") + 1).alias("n"))
@@ -138,6 +143,8 @@ _LIST = (
     ("q_preview", _corpus(preview), O.chain("bn", f"SELECT book_id, node_id AS id, (page_idx + 1)::BIGINT AS page, node_type AS type, text, {_R} FROM bn WHERE s <> '' ORDER BY book_id, page, id LIMIT 10 OFFSET 20")),
     ("q_code_valid", lambda s, d: longs(_frame(s, _CODE_LINES).select("i", T.is_code(F.col("x")).alias("valid"))), f"SELECT i::BIGINT AS i, {O.is_code('x')} AS valid FROM (SELECT i, {O.strip('x')} AS x FROM {_values(_CODE_LINES)})"),
     ("q_code_language", lambda s, d: longs(_frame(s, _CODE_LINES).select("i", T.code_language(F.col("x")).alias("language"))), f"SELECT i::BIGINT AS i, {O.code_language('x')} AS language FROM {_values(_CODE_LINES)}"),
+    ("q_code_valid_blocks", _corpus(lambda k: k.blocks().select("block_uid", T.is_code(F.col("raw_text")).alias("valid"))), O.chain("blk", f"SELECT block_uid, {O.is_code('x')} AS valid FROM (SELECT block_uid, {_whole_words('txt')} AS x FROM blk)")),
+    ("q_code_language_blocks", _corpus(lambda k: k.blocks().select("block_uid", T.code_language(F.col("raw_text")).alias("language"))), O.chain("blk", f"SELECT block_uid, {O.code_language('x')} AS language FROM (SELECT block_uid, {_whole_words('raw_text')} AS x FROM blk)")),
     ("q_doc_stats", _table("documents", _doc_stats), f"SELECT doc_id, {O.words("t")}::BIGINT AS word_count, length(t)::BIGINT AS char_count, {O.tokens('t')}::BIGINT AS token_count, CASE WHEN text IS NOT NULL THEN sha256(text) END AS sha256 FROM (SELECT *, coalesce(text, '') AS t FROM documents)"),
     ("q_stream_rollup", stream_rollup, "SELECT bucket, count(*) AS n, round(avg(value), 6) AS mean, arg_max(value, (ts, event_id)) AS last, arg_min(value, (ts, event_id)) AS first FROM (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) // 300 * 300 AS bucket FROM events) GROUP BY bucket"),
     ("q_doc_hash", _table("documents", lambda t: t.where("text is not null").select("doc_id", K.book_dir(F.sha2("text", 256)).alias("dir"), K.stage_key("inspect", "1", {"dpi": 300, "backend": "auto"}, F.array(F.sha2("text", 256), F.sha2(F.col("doc_id").cast("string"), 256))).alias("stage_key"))), """SELECT doc_id, substring(sha256(text), 1, 12) AS dir, substring(sha256('inspect|1|{"backend":"auto","dpi":300}|' || least(sha256(text), sha256(doc_id::VARCHAR)) || '|' || greatest(sha256(text), sha256(doc_id::VARCHAR))), 1, 16) AS stage_key FROM documents WHERE text IS NOT NULL"""),

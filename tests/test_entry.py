@@ -29,6 +29,17 @@ def test_core_queries_agree_with_sql(spark):
         assert got == sorted(repr(tuple(flat(row[i]) for i in at)) for row in rel.fetchall()), name
 
 
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
+@pytest.mark.parametrize(("name", "column"), [("q_code_valid_blocks", "valid"), ("q_code_language_blocks", "language")])
+def test_code_tests_over_all_blocks_agree_with_sql(spark, name, column):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.sql(f"create view raw_blocks as select * from '{DATA}/raw_blocks.parquet'")
+    got = [(r.block_uid, r[column]) for r in entry.queries()[name](spark, DATA).collect()]
+    blocks = spark.read.parquet(f"{DATA}/raw_blocks.parquet").select("block_uid").distinct().count()
+    assert len(got) == blocks and sorted(got, key=repr) == sorted(con.sql(f"select block_uid, {column} from ({entry.oracle_sql()[name]})").fetchall(), key=repr)
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
