@@ -22,7 +22,7 @@ from quire.llm.common import arrow_map
 
 KINDS = ("email", "phone", "id_number", "address", "name")
 THRESHOLD = 1.0
-#: Learned vocabularies are broadcast; these bound their sizes.
+#: Learned vocabularies are broadcast; these bound their sizes. Listed names are all kept.
 MAX_GIVEN, MAX_COMMON = 20_000, 50_000
 
 # --- email ---------------------------------------------------------------------------------------------------------
@@ -294,7 +294,8 @@ def replace_spans(text: str | None, given: set[str] = frozenset(), common: set[s
 def learn(docs: DataFrame, names: DataFrame, least: int = 3) -> tuple[set[str], set[str]]:
     """Given names (listed ones and those learned from cues) and common lower-case words of the whole corpus.
 
-    Counts run over every document; only the most frequent ``MAX_GIVEN`` and ``MAX_COMMON`` words reach the driver.
+    Counts run over every document; all listed names, but only the most frequent ``MAX_GIVEN`` learned names and ``MAX_COMMON``
+    common words reach the driver.
     """
     def count(cols: dict[str, list]) -> dict[str, list]:
         c: dict[tuple[str, int], int] = {}
@@ -313,7 +314,7 @@ def learn(docs: DataFrame, names: DataFrame, least: int = 3) -> tuple[set[str],
     totals = totals.persist()
     common, learned = top(0, MAX_COMMON), top(1, MAX_GIVEN)
     totals.unpersist()
-    listed = {fold(r.given_name) for r in names.select("given_name").dropna().distinct().orderBy("given_name").limit(MAX_GIVEN).collect()}
+    listed = {fold(r.given_name) for r in names.select("given_name").dropna().distinct().collect()}
     return listed | {w for w, n in learned.items() if 2 * n >= common.get(w, 0)}, set(common)
 
 

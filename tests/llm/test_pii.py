@@ -44,3 +44,10 @@ def test_tables(spark):
     red = {r.doc_id: r.redacted for r in I.redact(docs, names).collect() if r.doc_id == 20}
     assert red == {20: "Yours,\n<NAME>"}
     assert I.found(docs.limit(0), names).count() == 0
+
+
+def test_every_listed_name_counts(spark, monkeypatch):
+    monkeypatch.setattr(I, "MAX_GIVEN", 1)
+    docs = spark.createDataFrame([(1, "Alice Quilby came.", None, None), (2, "Zelda Quilby came.", None, None)], DOCS)
+    names = spark.createDataFrame([("Alice", "en"), ("Zelda", "en")], "given_name string, lang string")
+    assert {r.doc_id for r in I.found(docs, names).collect()} == {1, 2}
