@@ -6,9 +6,11 @@ short prefix of both, so the first level of the tree is dealt out to tasks by th
 sets below a node share one path of common runs, each further step skips at most as many runs of a set as its length still
 allows, and branches with one set left are pruned. What survives is compared exactly.
 
-The order comes from counts of all runs in a sketch of fixed size. Any order gives the same result; the sketch only keeps
-frequent runs out of the prefixes. Runs so frequent that their subtree could fill a task are dealt out by the first two
-runs of the path. Equal sets are one class; pairs of classes are expanded to pairs of records at the end.
+The order is how often a run is to be expected by the counts of its words. Any order gives the same result, so it may rest
+on counts of the ``MOST_WORDS`` commonest words alone (all others are rare) at any size of the corpus: a set has as many
+entries into the tree in a corpus of any size. Runs that hold a noticeable share of all runs, of which there are few, come
+last and enter the tree by two runs of the path. A node with more than ``BIG`` sets isn't walked: its sets go one run
+deeper, ``DEEP`` times at most; what is still that big then is dealt out to tasks by pairs of blocks of sets. Equal sets are one class; pairs of classes are expanded to pairs of records at the end.
 """
 
 from __future__ import annotations
@@ -24,14 +26,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.sketch import count_sketch, scale
-from quire.session import drop_path, scratch_path
+from quire.session import cut_lineage, drop_path, scratch_path
 
 _WORDS = re.compile(r"[^\W_]+").findall
-#: The sketch has 2**SKETCH_BITS counters, one byte each once they are broadcast.
-SKETCH_BITS = 22
-#: Runs counted more often than this are dealt out by two runs of the path.
-HOT = 3_000
+#: The order of runs knows the counts of this many words; it bounds what is broadcast and changes no result.
+MOST_WORDS = 100_000
+#: A run with more than this share of all runs enters the tree by two runs; summaries of ``KEPT`` runs a task find them.
+HEAVY, KEPT = 1e-4, 30_000
+#: A node with more sets goes one run deeper, this many times, and is dealt out in blocks of this size then.
+BIG, DEEP = 4_000, 2
 #: Subtrees of this many sets are joined set by set.
 SMALL = 6
 _EXTRA = 3  # runs after the prefix that a path carries along
@@ -52,6 +55,10 @@ class Bounds:
         n, d = self.t.numerator * (a + b), self.t.denominator + self.t.numerator
         return -(-n // d)
 
+    def fewest(self, size: int) -> int:
+        """Least number of runs in common with any partner."""
+        return self.overlap(size, self.smallest(size))
+
     def skips(self, size: int) -> int:
         """How many runs of a set of ``size`` can be missing from a partner of any size."""
         return size - self.smallest(size)
@@ -84,96 +91,163 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
-    """Sorted distinct hashes of the runs of ``n`` words with hashes ``h``."""
+    """Hashes of the runs of ``n`` words with hashes ``h``, in their order in the text."""
     if len(h) < n:
         return np.empty(0, np.uint64)
     k = len(h) - n + 1
     acc = np.zeros(k, np.uint64)
     for i in range(n):
         acc = _mix(acc * np.uint64(0x9E3779B97F4A7C15) + h[i : i + k])
-    acc = np.sort(acc)  # sort and compare: quicker than unique() on short arrays
-    return acc[np.concatenate(([True], acc[1:] != acc[:-1]))]
+    return acc
+
+
+def distinct(runs: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; sort and compare is quicker than unique() on short arrays."""
+    runs = np.sort(runs)
+    return runs[np.concatenate(([True], runs[1:] != runs[:-1]))] if len(runs) else runs
 
 
 def _binary(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, pa.binary())
 
 
+def _quiet(run):
+    def quiet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            yield from run(batches)
+
+    return quiet
+
+
 def run_sets(df: DataFrame, key: str, text: str, n: int, least_words: int) -> DataFrame:
-    """Rows (id, set_id, runs): the set of each text with at least ``least_words`` words, as bytes of sorted hashes."""
+    """Rows (id, set_id, text): each text with at least ``least_words`` words and the hash of its set of runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
-        schema = pa.schema([("id", pa.int64()), ("set_id", pa.binary()), ("runs", pa.binary())])
-        with np.errstate(over="ignore"):
-            for b in batches:
-                ids, sets, runs = [], [], []
-                for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    if t is None or len(t) < 2 * least_words - 1:
-                        continue
-                    w = _WORDS(t.lower())
-                    if len(w) < least_words:
-                        continue
-                    r = run_hashes(words.hashes(w), n)
-                    if len(r):
-                        raw = r.tobytes()
-                        ids.append(i)
-                        runs.append(raw)
-                        sets.append(hashlib.blake2b(raw, digest_size=16).digest())
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _binary(sets), _binary(runs)], schema=schema)
+        for b in batches:
+            keep, sets = [], []
+            for x, t in enumerate(b.column(1).to_pylist()):
+                if len(t) < 2 * least_words - 1:
+                    continue
+                w = _WORDS(t.lower())
+                if len(w) >= least_words and len(r := distinct(run_hashes(words.hashes(w), n))):
+                    keep.append(x)
+                    sets.append(hashlib.blake2b(r.tobytes(), digest_size=16).digest())
+            t = b.take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([t.column(0), _binary(sets), t.column(1)], names=["id", "set_id", "text"])
+
+    return df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("bigint"), text).mapInArrow(_quiet(run), "id bigint, set_id binary, text string")
+
+
+class Order:
+    """One order of all runs, by what the corpus says of their words."""
+
+    def __init__(self, words: list[tuple[int, int]], heavy: list[int], n: int):
+        words = sorted((h & 0xFFFFFFFFFFFFFFFF, c) for h, c in words)
+        self.words = np.array([h for h, _ in words], np.uint64)
+        self.logs = np.log(np.array([c for _, c in words], np.float64))
+        self.heavy = np.array(sorted(h & 0xFFFFFFFFFFFFFFFF for h in heavy), np.uint64)
+        self.n = n
+
+    @staticmethod
+    def _find(keys: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1))
+        return at, keys[at] == h if len(keys) else np.zeros(len(h), bool)
+
+    def runs(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct runs of the words ``h``, rarest first, and whether each is heavy."""
+        at, known = self._find(self.words, h)
+        logs = np.where(known, self.logs[at] if len(self.logs) else 0.0, 0.0)
+        k = len(h) - self.n + 1
+        score = sum((logs[i : i + k] for i in range(self.n)), np.zeros(k))
+        runs = run_hashes(h, self.n)
+        _, heavy = self._find(self.heavy, runs)
+        # sums of floats in one order only: equal runs have equal scores
+        by = np.lexsort((runs, score, heavy))
+        runs, heavy = runs[by], heavy[by]
+        first = np.concatenate(([True], runs[1:] != runs[:-1]))
+        return runs[first], heavy[first]
+
+
+def order_of(classes: DataFrame, n: int) -> Order:
+    """The order of the runs of ``classes`` (text): counts of all words, and the runs with a share of ``HEAVY`` or more.
+
+    Each task keeps a summary of ``KEPT`` runs, from which the least are dropped with their count taken from all others;
+    a run's count in it falls short of the truth by at most a ``KEPT``-th of the runs of the task.
+    """
 
-    return df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("bigint"), text).mapInArrow(run, "id bigint, set_id binary, runs binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words()
+        keys, counts, total = np.empty(0, np.uint64), np.empty(0, np.int64), 0
+        schema = pa.schema([("sort", pa.int32()), ("h", pa.int64()), ("n", pa.int64())])
+
+        def rows(sort: int, h: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), sort, np.int32)), pa.array(h.astype(np.int64)), pa.array(c.astype(np.int64))], schema=schema)
+
+        for b in batches:
+            hashed = [words.hashes(_WORDS(t.lower())) for t in b.column(0).to_pylist()]
+            if not hashed:
+                continue
+            yield rows(0, *np.unique(np.concatenate(hashed), return_counts=True))
+            h, c = np.unique(np.concatenate([distinct(run_hashes(w, n)) for w in hashed]), return_counts=True)
+            total += int(c.sum())
+            keys, where = np.unique(np.concatenate((keys, h)), return_inverse=True)
+            counts = np.bincount(where, np.concatenate((counts, c))).astype(np.int64)
+            if len(keys) > KEPT:
+                counts -= np.partition(counts, len(counts) - KEPT - 1)[len(counts) - KEPT - 1]
+                keys, counts = keys[counts > 0], counts[counts > 0]
+        yield rows(1, keys, counts)
+        yield rows(2, np.zeros(1, np.uint64), np.array([total]))
+
+    stats = cut_lineage(classes.select("text").mapInArrow(_quiet(run), "sort int, h bigint, n bigint").groupBy("sort", "h").agg(F.sum("n").alias("n")))
+    words = [(r.h, r.n) for r in stats.where("sort = 0").orderBy(F.desc("n"), "h").limit(MOST_WORDS).collect()]
+    total = (stats.where("sort = 2").first() or {"n": 0})["n"]
+    least = max(2.0, total * (HEAVY - 1 / KEPT))  # at most 1/(HEAVY - 1/KEPT) runs reach it
+    heavy = [r.h for r in stats.where((F.col("sort") == 1) & (F.col("n") > least)).collect()]
+    return Order(words, heavy, n)
 
 
-def sketch(sets: DataFrame) -> np.ndarray:
-    """Counts of all runs by the low bits of their hash; a fixed number of bytes."""
-    return count_sketch(sets.select("runs"), lambda runs: np.frombuffer(b"".join(runs), np.uint64), SKETCH_BITS)
+_POSTING = "node bigint, id bigint, size int, skipped int, depth int, rest binary"
 
 
-def _postings(classes: DataFrame, counts: np.ndarray, bounds: Bounds) -> DataFrame:
-    """Rows (node, id, size, skipped, rest): where each set enters the tree, and the runs that follow there."""
-    b = classes.sparkSession.sparkContext.broadcast(counts)
-    hot = int(scale(np.array([HOT]))[0])
+def _child(node: np.ndarray, run: np.ndarray) -> int:
+    return int(_mix(node * np.uint64(3) + run).astype(np.int64)[0])
+
+
+def _postings(starts: DataFrame, order: Order, bounds: Bounds) -> DataFrame:
+    """Rows (node, id, size, skipped, depth, rest): the nodes of the tree one run below each of ``starts`` (id, text, node,
+    skipped, depth), and the runs that follow there. Depth 0 is the root."""
+    b = starts.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low = np.uint64((1 << SKETCH_BITS) - 1)
-        table = b.value
-        schema = pa.schema([("node", pa.int64()), ("id", pa.int64()), ("size", pa.int32()), ("skipped", pa.int32()), ("rest", pa.binary())])
+        words, by = _Words(), b.value
+        schema = pa.schema([("node", pa.int64()), ("id", pa.int64()), ("size", pa.int32()), ("skipped", pa.int32()), ("depth", pa.int32()), ("rest", pa.binary())])
         for batch in batches:
-            nodes, ids, sizes, skipped, rests = [], [], [], [], []
-            for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                r = np.frombuffer(raw, np.uint64)
-                n = len(r)
-                reach = bounds.skips(n)
-                c = table[(r & low).astype(np.int64)]
-                keep = min(n, reach + 1 + _EXTRA)
-                order = np.lexsort((r, c))[:keep]
-                first, freq = r[order], c[order]
-                short = (first >> np.uint64(32)).astype(np.uint32)
-                for k in range(min(reach + 1, keep)):
-                    if freq[k] < 2:
-                        continue  # nobody else has it
-                    if freq[k] < hot:
-                        nodes.append(int(first[k].astype(np.int64)))
-                        ids.append(i)
-                        sizes.append(n)
-                        skipped.append(k)
-                        rests.append(short[k + 1 :].tobytes())
-                    else:
-                        for j in range(k + 1, min(reach + 2, keep)):
-                            nodes.append(int(_mix(first[k : k + 1] * np.uint64(3) + first[j : j + 1])[0].astype(np.int64)))
-                            ids.append(i)
-                            sizes.append(n)
-                            skipped.append(j - 1)
-                            rests.append(short[j + 1 :].tobytes())
-            with np.errstate(over="ignore"):
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(skipped, pa.int32()), _binary(rests)], schema=schema)
+            out: tuple[list, ...] = ([], [], [], [], [], [])
 
-    def quiet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with np.errstate(over="ignore"):
-            yield from run(batches)
+            def post(node: int, i: int, n: int, skipped: int, depth: int, after: np.ndarray) -> None:
+                for col, v in zip(out, (node, i, n, skipped, depth, after.tobytes())):
+                    col.append(v)
 
-    return classes.select("id", "runs").mapInArrow(quiet, "node bigint, id bigint, size int, skipped int, rest binary")
+            for i, text, node, gone, depth in zip(*(batch.column(c).to_pylist() for c in range(5))):
+                r, heavy = by.runs(words.hashes(_WORDS(text.lower())))
+                n = len(r)
+                reach = bounds.skips(n) + depth  # the last place that a path can end at
+                keep = min(n, reach + 2 + _EXTRA)
+                r, short = r[:keep], (r[:keep] >> np.uint64(32)).astype(np.uint32)
+                up = np.array([node], np.int64).astype(np.uint64)
+                for k in range(gone + depth, min(reach + 1, keep)):
+                    here = int(r[k].astype(np.int64)) if depth == 0 else _child(up, r[k : k + 1])
+                    if depth or not heavy[k]:
+                        post(here, i, n, k - depth, depth + 1, short[k + 1 : reach + 1 + _EXTRA])
+                        continue
+                    if bounds.fewest(n) < 2:
+                        post(here, i, n, k, 1, short[k + 1 : reach + 1 + _EXTRA])  # it may be all that a pair has in common
+                    for j in range(k + 1, min(reach + 2, keep)):
+                        post(_child(r[k : k + 1], r[j : j + 1]), i, n, j - 1, 2, short[j + 1 : reach + 1 + _EXTRA])
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+
+    return starts.select("id", "text", "node", "skipped", "depth").mapInArrow(_quiet(run), _POSTING)
 
 
 def walk(members: list[tuple[int, int, int, tuple[int, ...]]], depth: int, bounds: Bounds, out: set[tuple[int, int]]) -> None:
@@ -223,46 +297,92 @@ def _compare(a: tuple, b: tuple, bounds: Bounds, out: set[tuple[int, int]]) -> N
     out.add((i, j) if i < j else (j, i))
 
 
-def _candidates(postings: DataFrame, bounds: Bounds, depth: int) -> DataFrame:
+def _walked(postings: DataFrame, bounds: Bounds, last: bool) -> DataFrame:
+    """Rows (a, b) of candidates, and rows like those of ``postings`` of sets that have to go deeper, none if ``last``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("node", pa.int64()), ("id", pa.int64()), ("size", pa.int32()), ("skipped", pa.int32()), ("depth", pa.int32()), ("rest", pa.binary())])
+
+        def batch(cols: list[list]) -> pa.RecordBatch:
+            length = max(map(len, cols))
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) if c else pa.nulls(length, f.type) for c, f in zip(cols, schema)], schema=schema)
 
         def close(group: list) -> pa.RecordBatch | None:
             found: set[tuple[int, int]] = set()
-            if len(group) > 1:
-                walk([(i, n, s, tuple(memoryview(r).cast("I")) if r else ()) for i, n, s, r in group], depth, bounds, found)
-            if not found:
-                return None
+            walk([(i, n, s, tuple(memoryview(r).cast("I")) if r else ()) for i, n, s, _, r in group], _EXTRA, bounds, found)
             pairs = list(found)
-            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], schema=schema)
+            return batch([[p[0] for p in pairs], [p[1] for p in pairs], [], [], [], [], [], []]) if pairs else None
 
-        node, group = None, []
+        node, group, deeper = None, [], False
         for b in batches:
-            for k, i, n, s, r in zip(*(b.column(c).to_pylist() for c in range(5))):
+            down: list[list] = [[] for _ in range(6)]
+
+            def descend(k: int, members: list) -> list:
+                """Send members a run deeper; those that may have nothing more in common stay."""
+                for m in members:
+                    for col, v in zip(down, (k, *m)):
+                        col.append(v)
+                return [m for m in members if bounds.fewest(m[1]) <= m[3]]
+
+            for k, *member in zip(*(b.column(c).to_pylist() for c in range(6))):
                 if k != node:
                     if len(group) > 1 and (res := close(group)) is not None:
                         yield res
-                    node, group = k, []
-                group.append((i, n, s, r))
+                    node, group, deeper = k, [], False
+                group += descend(k, [member]) if deeper else [member]
+                if len(group) > BIG and not deeper and not last:
+                    group, deeper = descend(k, group), True
+            if down[0]:
+                yield batch([[], [], *down])
         if len(group) > 1 and (res := close(group)) is not None:
             yield res
 
-    return postings.repartition("node").sortWithinPartitions("node").mapInArrow(run, "a bigint, b bigint").distinct()
-
-
-def similar_classes(classes: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
-    """Rows (a, b, similarity), a < b: classes (id, runs) whose sets agree in at least ``threshold`` of their union."""
+    return postings.repartition("node").sortWithinPartitions("node").mapInArrow(run, "a bigint, b bigint, " + _POSTING)
+
+
+def _blocks(down: DataFrame) -> DataFrame:
+    """Postings of the same sets to a node for each pair of blocks of about ``BIG`` sets of their old node."""
+    many = down.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / BIG).cast("int").alias("k"))
+    own = F.pmod(F.xxhash64("id"), F.col("k"))
+    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda j: F.xxhash64("node", F.least(own, j), F.greatest(own, j))))
+    return down.join(many, "node").select(pair.alias("node"), "id", "size", "skipped", "depth", "rest")
+
+
+def _candidates(classes: DataFrame, order: Order, bounds: Bounds) -> DataFrame:
+    """Distinct rows (a, b), a < b. Each level of the tree that some node is too big for is one more round."""
+    spark = classes.sparkSession
+    starts = classes.select("id", "text", F.lit(0).cast("bigint").alias("node"), F.lit(0).alias("skipped"), F.lit(0).alias("depth"))
+    out, level, postings = None, 0, _postings(starts, order, bounds)
+    while True:
+        path = scratch_path(spark, "walked")
+        _walked(postings, bounds, level > DEEP).write.parquet(path)
+        got = spark.read.parquet(path)
+        pairs = got.where("a is not null").select("a", "b")
+        out = pairs if out is None else out.unionByName(pairs)
+        down = got.where("node is not null").drop("a", "b")
+        if not down.limit(1).count():
+            return out.distinct()
+        level += 1
+        postings = _blocks(down) if level > DEEP else _postings(down.join(classes.select("id", "text"), "id"), order, bounds)
+
+
+def similar_classes(classes: DataFrame, threshold: float, n: int) -> DataFrame:
+    """Rows (a, b, similarity), a < b: classes (id, text) whose sets agree in at least ``threshold`` of their union."""
     bounds = Bounds(threshold)
-    cand = _candidates(_postings(classes, counts, bounds), bounds, depth=_EXTRA)
-    left, right = classes.select(F.col("id").alias("a"), F.col("runs").alias("ra")), classes.select(F.col("id").alias("b"), F.col("runs").alias("rb"))
+    cand = _candidates(classes, order_of(classes, n), bounds)
+    left, right = classes.select(F.col("id").alias("a"), F.col("text").alias("ta")), classes.select(F.col("id").alias("b"), F.col("text").alias("tb"))
     num, den = bounds.t.numerator, bounds.t.denominator
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
+        words = _Words()
         for b in batches:
             keep, sims = [], []
+            last, u = None, None
             for x, (p, q) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
-                u, v = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+                if p != last:
+                    last, u = p, distinct(run_hashes(words.hashes(_WORDS(p.lower())), n))
+                v = distinct(run_hashes(words.hashes(_WORDS(q.lower())), n))
                 both = np.sort(np.concatenate((u, v)))
                 common = int(np.count_nonzero(both[1:] == both[:-1]))
                 union = len(u) + len(v) - common
@@ -272,31 +392,29 @@ def similar_classes(classes: DataFrame, counts: np.ndarray, threshold: float) ->
             t = b.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), pa.array(sims, pa.float64())], schema=schema)
 
-    return cand.join(left, "a").join(right, "b").select("a", "b", "ra", "rb").mapInArrow(check, "a bigint, b bigint, similarity double")
+    return cand.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(_quiet(check), "a bigint, b bigint, similarity double")
 
 
-def _prepare(df: DataFrame, key: str, text: str, n: int, least_words: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
-    """(members (id, set_id), classes (id, runs), sketch); the sets are written once to the shared folder."""
+def _prepare(df: DataFrame, key: str, text: str, n: int, least_words: int) -> tuple[DataFrame, DataFrame]:
+    """(members (id, set_id), classes (id, set_id, text)), written once to the shared folder."""
     spark = df.sparkSession
     path = scratch_path(spark, "runs")
     run_sets(df, key, text, n, least_words).write.parquet(path)
     sets = spark.read.parquet(path)
-    members = sets.select("id", "set_id").distinct()
-    classes_path = scratch_path(spark, "classes")
-    sets.groupBy("set_id").agg(F.min("id").alias("id"), F.first("runs").alias("runs")).select("id", "set_id", "runs").write.parquet(classes_path)
     members_path = scratch_path(spark, "members")
-    members.write.parquet(members_path)
+    sets.select("id", "set_id").distinct().write.parquet(members_path)
+    classes_path = scratch_path(spark, "classes")
+    sets.groupBy("set_id").agg(F.min("id").alias("id"), F.first("text").alias("text")).select("id", "set_id", "text").write.parquet(classes_path)
     drop_path(spark, path)  # classes and members hold all of it now
-    classes = spark.read.parquet(classes_path)
-    return spark.read.parquet(members_path), classes, sketch(classes)
+    return spark.read.parquet(members_path), spark.read.parquet(classes_path)
 
 
 def pairs(df: DataFrame, key: str, text: str, threshold: float = 0.8, n: int = 5, least_words: int = 0) -> DataFrame:
     """Rows (a, b), a < b: all pairs of different records of at least ``least_words`` words whose sets of runs of ``n``
     words agree in at least ``threshold`` of their union. Records without a run, NULL texts and NULL keys are in no pair; a
     record delivered twice counts once."""
-    members, classes, counts = _prepare(df, key, text, n, max(least_words, n))
-    sim = similar_classes(classes.select("id", "runs"), counts, threshold)
+    members, classes = _prepare(df, key, text, n, max(least_words, n))
+    sim = similar_classes(classes.select("id", "text"), threshold, n)
     of = classes.select(F.col("id").alias("cls"), "set_id")
     many = members.groupBy("set_id").agg(F.count(F.lit(1)).alias("k"))
     own = members.join(of, "set_id").join(many, "set_id").select("id", "cls", "k")
@@ -313,8 +431,8 @@ def groups(df: DataFrame, key: str, text: str, threshold: float = 0.8, n: int =
     lead to) and the number of other classes it is linked to. Copies are not expanded into pairs."""
     from quire.llm.splits import components
 
-    members, classes, counts = _prepare(df, key, text, n, max(least_words, n))
-    sim = similar_classes(classes.select("id", "runs"), counts, threshold).select("a", "b")
+    members, classes = _prepare(df, key, text, n, max(least_words, n))
+    sim = similar_classes(classes.select("id", "text"), threshold, n).select("a", "b")
     path = scratch_path(df.sparkSession, "links")
     sim.write.parquet(path)
     sim = df.sparkSession.read.parquet(path)

@@ -19,10 +19,11 @@ def brute(rows, n, threshold, least):
     return {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if len(sets[a] & sets[b]) * 10 >= threshold * 10 * len(sets[a] | sets[b])}
 
 
-@pytest.mark.parametrize(("n", "least", "hot"), [(3, 25, 3000), (5, 0, 3000), (3, 5, 4), (1, 0, 2)])
-def test_against_brute_force(spark, monkeypatch, n, least, hot):
-    monkeypatch.setattr(N, "HOT", hot)
-    monkeypatch.setattr(N, "SKETCH_BITS", 16)
+@pytest.mark.parametrize(("n", "least", "threshold", "big", "heavy"), [(3, 25, 0.8, 4000, 1e-4), (5, 0, 0.8, 4000, 1.0), (3, 5, 0.8, 4, 1.0), (1, 0, 0.8, 3, 1e-3), (1, 0, 0.3, 4000, 1e-3)])
+def test_against_brute_force(spark, monkeypatch, n, least, threshold, big, heavy):
+    monkeypatch.setattr(N, "BIG", big)
+    monkeypatch.setattr(N, "HEAVY", heavy)
+    monkeypatch.setattr(N, "MOST_WORDS", 40)
     rnd = random.Random(n * 100 + least)
     vocab = [f"w{i}" for i in range(60)]
     rows, u = [], 0
@@ -35,12 +36,14 @@ def test_against_brute_force(spark, monkeypatch, n, least, hot):
                 rnd.choice([lambda: t.__setitem__(i, rnd.choice(vocab)), lambda: t.insert(i, "new"), lambda: t.pop(i) if len(t) > 2 else None])()
             rows.append((u, " ".join(t)))
             u += 1
+    if n == 1:
+        rows += [(u + 10, "same"), (u + 11, "same other more")]  # one run in common
     rows += [(u, rows[0][1].upper()), (u + 1, None), (u + 2, ""), (None, rows[0][1]), (0, rows[0][1])]
     df = spark.createDataFrame([(a, b, a, "x", "y") for a, b in rows], SCHEMA)
-    got = {(r.a, r.b) for r in N.pairs(df, "block_uid", "clean_text", 0.8, n, least).collect()}
-    want = brute(rows, n, 0.8, least)
+    got = {(r.a, r.b) for r in N.pairs(df, "block_uid", "clean_text", threshold, n, least).collect()}
+    want = brute(rows, n, threshold, least)
     assert got == want and (want or least > 20)
-    groups = {r.id: r.group_id for r in N.groups(df, "block_uid", "clean_text", 0.8, n, least).collect()}
+    groups = {r.id: r.group_id for r in N.groups(df, "block_uid", "clean_text", threshold, n, least).collect()}
     assert set(groups) == {x for p in want for x in p} and all(groups[a] == groups[b] for a, b in want)
 
 
