@@ -6,10 +6,11 @@ short prefix of both, so the first level of the tree is dealt out to tasks by th
 sets below a node share one path of common runs, each further step skips at most as many runs of a set as its length still
 allows, and branches with one set left are pruned. What survives is compared exactly.
 
-The order is how often a run is to be expected by the counts of its words. Any order gives the same result, so it may rest
-on counts of the ``MOST_WORDS`` commonest words alone (all others are rare) at any size of the corpus: a set has as many
-entries into the tree in a corpus of any size. Runs that hold a noticeable share of all runs, of which there are few, come
-last and enter the tree by two runs of the path. A node with more than ``BIG`` sets isn't walked: its sets go one run
+The order is how often runs occur. Summaries of bounded size find all runs with a share of at least ``SHARE`` of all runs,
+of which there can only be few, with their counts; the others, rarer ones come before them, by how often they are to be
+expected from the counts of the ``MOST_WORDS`` commonest words. Any order gives the same result, so these bounds change
+none, and they are relative: a set has as many entries into the tree in a corpus of any size. Runs with a share of
+``HEAVY`` enter the tree by two runs of the path. A node with more than ``BIG`` sets isn't walked: its sets go one run
 deeper, ``DEEP`` times at most; what is still that big then is dealt out to tasks by pairs of blocks of sets. Equal sets are one class; pairs of classes are expanded to pairs of records at the end.
 """
 
@@ -31,8 +32,9 @@ from quire.session import cut_lineage, drop_path, scratch_path
 _WORDS = re.compile(r"[^\W_]+").findall
 #: The order of runs knows the counts of this many words; it bounds what is broadcast and changes no result.
 MOST_WORDS = 100_000
-#: A run with more than this share of all runs enters the tree by two runs; summaries of ``KEPT`` runs a task find them.
-HEAVY, KEPT = 1e-4, 30_000
+#: Share of all runs from which a run's own count is known, the size of a task's summary, and the share from which a run
+#: enters the tree by two runs only. At most 1 / (SHARE - 1 / KEPT) runs are known.
+SHARE, KEPT, HEAVY = 5e-6, 400_000, 1e-4
 #: A node with more sets goes one run deeper, this many times, and is dealt out in blocks of this size then.
 BIG, DEEP = 4_000, 2
 #: Subtrees of this many sets are joined set by set.
@@ -140,37 +142,43 @@ def run_sets(df: DataFrame, key: str, text: str, n: int, least_words: int) -> Da
 
 
 class Order:
-    """One order of all runs, by what the corpus says of their words."""
+    """One order of all runs, by what the corpus says of them and of their words. Keys are sorted."""
 
-    def __init__(self, words: list[tuple[int, int]], heavy: list[int], n: int):
-        words = sorted((h & 0xFFFFFFFFFFFFFFFF, c) for h, c in words)
-        self.words = np.array([h for h, _ in words], np.uint64)
-        self.logs = np.log(np.array([c for _, c in words], np.float64))
-        self.heavy = np.array(sorted(h & 0xFFFFFFFFFFFFFFFF for h in heavy), np.uint64)
-        self.n = n
+    def __init__(self, words: tuple[np.ndarray, np.ndarray], known: tuple[np.ndarray, np.ndarray], heavy: float, n: int):
+        self.words, self.logs = words[0], np.log(np.maximum(words[1], 1).astype(np.float32))
+        self.known, self.counts = known
+        self.heavy, self.n = heavy, n
 
     @staticmethod
-    def _find(keys: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1))
-        return at, keys[at] == h if len(keys) else np.zeros(len(h), bool)
+    def _find(keys: np.ndarray, values: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Values of ``h``; 0 where there is none."""
+        if not len(keys):
+            return np.zeros(len(h))
+        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+        return np.where(keys[at] == h, values[at], 0)
 
     def runs(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct runs of the words ``h``, rarest first, and whether each is heavy."""
-        at, known = self._find(self.words, h)
-        logs = np.where(known, self.logs[at] if len(self.logs) else 0.0, 0.0)
+        logs = self._find(self.words, self.logs, h)
         k = len(h) - self.n + 1
-        score = sum((logs[i : i + k] for i in range(self.n)), np.zeros(k))
         runs = run_hashes(h, self.n)
-        _, heavy = self._find(self.heavy, runs)
-        # sums of floats in one order only: equal runs have equal scores
-        by = np.lexsort((runs, score, heavy))
-        runs, heavy = runs[by], heavy[by]
+        count = self._find(self.known, self.counts, runs)
+        # sums in one order only: equal runs have equal scores
+        by = np.lexsort((runs, sum((logs[i : i + k] for i in range(self.n)), np.zeros(k)), count))
+        runs, count = runs[by], count[by]
         first = np.concatenate(([True], runs[1:] != runs[:-1]))
-        return runs[first], heavy[first]
+        return runs[first], count[first] > self.heavy
+
+
+def _sorted_by_hash(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    t = rows.select("h", "n").toArrow()
+    h, n = t.column(0).to_numpy().astype(np.int64).view(np.uint64), t.column(1).to_numpy()
+    by = np.argsort(h)
+    return h[by], n[by]
 
 
 def order_of(classes: DataFrame, n: int) -> Order:
-    """The order of the runs of ``classes`` (text): counts of all words, and the runs with a share of ``HEAVY`` or more.
+    """The order of the runs of ``classes`` (text): counts of all words, and of the runs with a share of ``SHARE`` or more.
 
     Each task keeps a summary of ``KEPT`` runs, from which the least are dropped with their count taken from all others;
     a run's count in it falls short of the truth by at most a ``KEPT``-th of the runs of the task.
@@ -182,14 +190,14 @@ def order_of(classes: DataFrame, n: int) -> Order:
         schema = pa.schema([("sort", pa.int32()), ("h", pa.int64()), ("n", pa.int64())])
 
         def rows(sort: int, h: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), sort, np.int32)), pa.array(h.astype(np.int64)), pa.array(c.astype(np.int64))], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), sort, np.int32)), pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], schema=schema)
 
         for b in batches:
             hashed = [words.hashes(_WORDS(t.lower())) for t in b.column(0).to_pylist()]
             if not hashed:
                 continue
             yield rows(0, *np.unique(np.concatenate(hashed), return_counts=True))
-            h, c = np.unique(np.concatenate([distinct(run_hashes(w, n)) for w in hashed]), return_counts=True)
+            h, c = np.unique(np.concatenate([run_hashes(w, n) for w in hashed]), return_counts=True)
             total += int(c.sum())
             keys, where = np.unique(np.concatenate((keys, h)), return_inverse=True)
             counts = np.bincount(where, np.concatenate((counts, c))).astype(np.int64)
@@ -200,11 +208,10 @@ def order_of(classes: DataFrame, n: int) -> Order:
         yield rows(2, np.zeros(1, np.uint64), np.array([total]))
 
     stats = cut_lineage(classes.select("text").mapInArrow(_quiet(run), "sort int, h bigint, n bigint").groupBy("sort", "h").agg(F.sum("n").alias("n")))
-    words = [(r.h, r.n) for r in stats.where("sort = 0").orderBy(F.desc("n"), "h").limit(MOST_WORDS).collect()]
     total = (stats.where("sort = 2").first() or {"n": 0})["n"]
-    least = max(2.0, total * (HEAVY - 1 / KEPT))  # at most 1/(HEAVY - 1/KEPT) runs reach it
-    heavy = [r.h for r in stats.where((F.col("sort") == 1) & (F.col("n") > least)).collect()]
-    return Order(words, heavy, n)
+    words = _sorted_by_hash(stats.where("sort = 0").orderBy(F.desc("n"), "h").limit(MOST_WORDS))
+    known = _sorted_by_hash(stats.where((F.col("sort") == 1) & (F.col("n") > max(1.0, total * (SHARE - 1 / KEPT)))))
+    return Order(words, known, max(2.0, total * HEAVY), n)
 
 
 _POSTING = "node bigint, id bigint, size int, skipped int, depth int, rest binary"
@@ -234,7 +241,7 @@ def _postings(starts: DataFrame, order: Order, bounds: Bounds) -> DataFrame:
                 n = len(r)
                 reach = bounds.skips(n) + depth  # the last place that a path can end at
                 keep = min(n, reach + 2 + _EXTRA)
-                r, short = r[:keep], (r[:keep] >> np.uint64(32)).astype(np.uint32)
+                r, short = r[:keep], (r[:keep] >> np.uint64(48)).astype(np.uint16)
                 up = np.array([node], np.int64).astype(np.uint64)
                 for k in range(gone + depth, min(reach + 1, keep)):
                     here = int(r[k].astype(np.int64)) if depth == 0 else _child(up, r[k : k + 1])
@@ -309,7 +316,7 @@ def _walked(postings: DataFrame, bounds: Bounds, last: bool) -> DataFrame:
 
         def close(group: list) -> pa.RecordBatch | None:
             found: set[tuple[int, int]] = set()
-            walk([(i, n, s, tuple(memoryview(r).cast("I")) if r else ()) for i, n, s, _, r in group], _EXTRA, bounds, found)
+            walk([(i, n, s, tuple(memoryview(r).cast("H")) if r else ()) for i, n, s, _, r in group], _EXTRA, bounds, found)
             pairs = list(found)
             return batch([[p[0] for p in pairs], [p[1] for p in pairs], [], [], [], [], [], []]) if pairs else None
 

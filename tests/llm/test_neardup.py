@@ -24,6 +24,8 @@ def test_against_brute_force(spark, monkeypatch, n, least, threshold, big, heavy
     monkeypatch.setattr(N, "BIG", big)
     monkeypatch.setattr(N, "HEAVY", heavy)
     monkeypatch.setattr(N, "MOST_WORDS", 40)
+    monkeypatch.setattr(N, "KEPT", 300)
+    monkeypatch.setattr(N, "SHARE", 1e-2)
     rnd = random.Random(n * 100 + least)
     vocab = [f"w{i}" for i in range(60)]
     rows, u = [], 0
