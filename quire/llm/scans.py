@@ -2,11 +2,12 @@
 
 Lines that are nothing but a page number or a running header are told by their form and by the titles of the book and its
 chapters. Words divided at line ends are joined. Misread characters are corrected by a noisy channel: each word may stand
-for itself or for words that differ from it by known character confusions; probabilities of confusions times likelihoods of
-neighbouring words in the corpus decide, by Viterbi over the words of a block.
+for itself or for words that differ from it by known character confusions; probabilities of confusions, learned from the
+corpus by expectation-maximization, times likelihoods of neighbouring words decide, by Viterbi over the words of a block.
 
-Counts of words and of pairs of neighbours come from sketches of fixed size over all blocks, so nothing that is broadcast
-grows with the corpus. Blocks meet the facts of their page by an equi-join on book and page, which no single book skews.
+Counts of words and of pairs of neighbours are exact, over all blocks, and stay distributed: words that confusions may turn
+into each other meet by a key that no confusion changes, and blocks get the counts they need by equi-joins (``lookup``).
+Nothing that grows with the corpus is broadcast, and no word is too rare, too long or too frequent to be looked at.
 
 Defined results: NULL and empty texts have no noise; pages without a row in the table of pages, or whose flag is NULL,
 aren't scanned; a block delivered twice counts once.
@@ -18,7 +19,6 @@ import math
 import unicodedata
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import regex as re
 import xxhash
@@ -26,20 +26,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import arrow_map
-from quire.llm.sketch import STEPS, count_sketch
+from quire.llm.lookup import ask, deal, tell
 from quire.llm.visual import folded, shape
-from quire.session import hub
+from quire.session import cut_lineage, hub
 
 NOISE = ("hyphen", "char", "header", "page_number")
-SKETCH_BITS = 22
-#: Probability of one confusion in a word, and share of a word's count that its misreadings may have in the corpus.
-CONFUSION, EXPECTED = 0.004, 0.012
 #: What is read for what, as (read, meant).
 CONFUSIONS = (
     ("c", "e"), ("o", "a"), ("f", "t"), ("0", "o"), ("ri", "n"), ("1", "l"), ("cl", "d"), ("b", "h"), ("ii", "u"), ("rn", "m"), ("q", "g"),
     ("vv", "w"), ("6", "é"), ("6", "b"), ("ii", "ü"), ("0", "о"), ("н", "и"), ("h", "li"), ("5", "ã"), ("5", "s"), ("8", "в"), ("8", "b"),
     ("m", "rn"), ("c", "ç"), ("b", "ß"), ("6", "б"), ("1", "i"), ("l", "i"), ("i", "l"), ("3", "з"), ("4", "ч"), ("9", "g"),
 )
+#: A confusion's probability before anything is seen, and how many places it counts as; the rounds of learning.
+PRIOR, PLACES, ROUNDS = 0.004, 1000.0, 3
+#: How much commoner than a word its meant reading must be, and how many times as often as expected a misreading may come,
+#: as the same print is misread again and again.
+COMMONER, BURST = 4.0, 8.0
 
 _TOKEN = re.compile(r"[^\W_]+")
 _DIVIDED = re.compile(r"(?<=\p{L})[-‐­¬] *\r?\n\s*(?=\p{L})")
@@ -68,15 +70,13 @@ def title_form(text: str) -> str:
     return t.strip(" .:·|-–—")
 
 
-_FOLDS = (("rn", "m"), ("vv", "w"), ("cl", "d"), ("ii", "u"), ("ri", "n"), ("li", "h"))
-_FOLD = str.maketrans({"0": "o", "о": "o", "1": "l", "i": "l", "5": "s", "6": "b", "8": "b", "9": "g", "q": "g", "c": "e", "ç": "e", "a": "o", "f": "t", "b": "h", "в": "h", "ü": "u", "é": "e", "ã": "o", "и": "н", "ß": "h"})
+#: What each character is made of, so that what is read and what is meant are made of the same.
+_STROKES = str.maketrans({"i": "x", "l": "x", "1": "x", "u": "xx", "ü": "xx", "h": "xx", "b": "xx", "ß": "xx", "é": "xx", "6": "xx", "8": "xx", "в": "xx", "б": "xx", "n": "rx", "m": "rrx", "w": "vv", "d": "cx", "e": "c", "ç": "c", "a": "o", "0": "o", "о": "o", "t": "f", "q": "g", "9": "g", "5": "s", "ã": "s", "н": "и", "3": "з", "4": "ч"})
 
 
 def read_form(form: str) -> str:
     """A form that misread characters don't change."""
-    for a, b in _FOLDS:
-        form = form.replace(a, b)
-    return form.translate(_FOLD)
+    return form.translate(_STROKES)
 
 
 class Titles:
@@ -182,133 +182,197 @@ def pair_hash(a: int, b: int) -> int:
     return ((a * 0x9E3779B97F4A7C15) ^ (b * 0xC2B2AE3D27D4EB4F) ^ (b >> 7)) & _MASK
 
 
-def corpus_counts(df: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Sketches of words and of pairs of neighbouring words."""
-    known: dict[str, int] = {}
-
-    def hashes(texts: list[str | None]) -> np.ndarray:
-        out: list[int] = []
-        for t in texts:
-            if t:
-                for w in tokens(t):
-                    h = known.get(w)
-                    if h is None:
-                        if len(known) > 500_000:
-                            known.clear()
-                        h = known[w] = xxhash.xxh64_intdigest(w)
-                    out.append(h)
-                out.append(0)
-        h = np.array(out, np.uint64)
-        if not len(h):
-            return h
-        with np.errstate(over="ignore"):
-            a, b = h[:-1], h[1:]
-            pairs = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (b >> np.uint64(7))
-            half = np.uint64(1 << (SKETCH_BITS - 1))
-            low = np.uint64((1 << (SKETCH_BITS - 1)) - 1)
-            # words take the lower half of the table, pairs the upper
-            return np.concatenate((h[h != 0] & low, (pairs[(a != 0) & (b != 0)] & low) | half))
-
-    table = count_sketch(df.select(text), hashes, SKETCH_BITS)
-    return table[: len(table) // 2], table[len(table) // 2 :]
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
+def pair_key(a: str, b: str) -> int:
+    """A key of 64 bits of two neighbouring words."""
+    return _signed(pair_hash(xxhash.xxh64_intdigest(a), xxhash.xxh64_intdigest(b)))
+
+
+def corpus_counts(df: DataFrame, text: str) -> DataFrame:
+    """Rows (word, pair, n): how often each word and each pair of neighbours (by its key) stands in ``df``."""
+    hashes: dict[str, int] = {}
+
+    def count(cols: dict[str, list]) -> dict[str, list]:
+        if len(hashes) > 500_000:
+            hashes.clear()
+        words: dict[str, int] = {}
+        pairs: dict[int, int] = {}
+        for t in cols[text]:
+            before = None
+            for w in tokens(t) if t else ():
+                words[w] = words.get(w, 0) + 1
+                h = hashes.get(w)
+                if h is None:
+                    h = hashes[w] = xxhash.xxh64_intdigest(w)
+                if before is not None:
+                    k = pair_hash(before, h)
+                    pairs[k] = pairs.get(k, 0) + 1
+                before = h
+        return {"word": [*words, *[None] * len(pairs)], "pair": [*[None] * len(words), *map(_signed, pairs)], "n": [*words.values(), *pairs.values()]}
+
+    return hub(arrow_map(df.select(text), count, "word string, pair bigint, n bigint").groupBy("word", "pair").agg(F.sum("n").alias("n")))
+
+
+_BY_MEANT: dict[str, list[tuple[int, str, str]]] = {}
+for _i, (_read, _meant) in enumerate(CONFUSIONS):
+    _BY_MEANT.setdefault(_meant[0], []).append((_i, _read, _meant))
+
+
+def confused(meant: str, read: str) -> list[int] | None:
+    """The fewest confusions (by number in ``CONFUSIONS``) that turn ``meant`` into ``read``; None if none do."""
+    n, m = len(meant), len(read)
+    best: dict[tuple[int, int], list[int]] = {(0, 0): []}
+    for i in range(n):
+        # places of one row in order: confusions may only lead on
+        for j in sorted(j for x, j in best if x == i):
+            done = best[i, j]
+            steps = [(1, 1, done)] if j < m and meant[i] == read[j] else []
+            steps += [(len(b), len(a), [*done, c]) for c, a, b in _BY_MEANT.get(meant[i], ()) if meant.startswith(b, i) and read.startswith(a, j)]
+            for di, dj, path in steps:
+                k = (i + di, j + dj)
+                if k not in best or len(path) < len(best[k]):
+                    best[k] = path
+    return best.get((n, m))
+
+
+def misreadings(counts: DataFrame) -> DataFrame:
+    """Rows (word, n, meant, c, how): words of the corpus that a far commoner word, counted ``c`` times, may have been read
+    as, by the confusions ``how``. Words meet by the form that confusions don't change."""
+    words = counts.where("word is not null and length(word) > 1 and not word rlike '^[0-9]+$'").select("word", "n")
+    keyed = arrow_map(words, lambda c: {"form": [xxhash.xxh64_intdigest(read_form(w)) >> 1 for w in c["word"]], "word": c["word"], "n": c["n"]}, "form bigint, word string, n bigint")
+    schema = pa.schema([("word", pa.string()), ("n", pa.int64()), ("meant", pa.string()), ("c", pa.int64()), ("how", pa.list_(pa.int32()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def close(group: list[tuple[str, int]]) -> list[tuple]:
+            group.sort(key=lambda x: (-x[1], x[0]))
+            out = []
+            for i, (w, n) in enumerate(group):
+                for v, c in group[:i]:
+                    if c <= COMMONER * n:
+                        break
+                    if not any(x.isdigit() for x in v) and (how := confused(v, w)) is not None:
+                        out.append((w, n, v, c, how))
+            return out
+
+        form, group = None, []
+        for b in batches:
+            got: list[tuple] = []
+            for f, w, n in zip(*(b.column(c).to_pylist() for c in range(3))):
+                if f != form:
+                    got += close(group)
+                    form, group = f, []
+                group.append((w, n))
+            if got:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*got), schema)], schema=schema)
+        if got := close(group):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*got), schema)], schema=schema)
+
+    return keyed.repartition("form").sortWithinPartitions("form").mapInArrow(run, "word string, n bigint, meant string, c bigint, how array<int>")
+
+
+def learned(found: DataFrame, counts: DataFrame) -> tuple[DataFrame, float]:
+    """(rows (word, n, cands (meant, emit, c), noise), number of words): ``misreadings`` with the logarithm of the
+    probability of their confusions, learned by expectation-maximization, and how often the word is to be expected as a
+    misreading of its candidates."""
+    meant = [b for _, b in CONFUSIONS]
+    places = [F.sum(F.col("n") * (F.length("word") - F.length(F.replace("word", F.lit(b), F.lit("")))) / len(b)).alias(f"p{i}") for i, b in enumerate(meant)]
+    sums = counts.where("word is not null").agg(F.sum("n").alias("total"), *places).first()
+    at = [float(sums[f"p{i}"] or 0.0) for i in range(len(meant))]
+    chance = [PRIOR] * len(meant)
+    pairs = hub(found)
+
+    def scored(chance: list[float]) -> DataFrame:
+        logs = F.array(*[F.lit(math.log(x)) for x in chance])
+        emit = F.aggregate("how", F.lit(0.0), lambda s, i: s + F.element_at(logs, i + 1))
+        return pairs.withColumn("emit", emit).withColumn("e", F.col("c") * F.exp("emit"))
+
+    for _ in range(ROUNDS):
+        s = scored(chance)
+        # E: a word that stands no oftener than its candidates are misread is a misreading of theirs
+        all_ = s.groupBy("word").agg(F.sum("e").alias("all"))
+        own = F.greatest(F.lit(0.5), F.col("n") - F.col("all") - 3 * F.sqrt("all"))
+        events = s.join(all_, "word").select(F.explode("how").alias("i"), (F.col("n") * F.col("e") / (F.col("all") + own)).alias("x"))
+        seen = {r.i: r.x for r in events.groupBy("i").agg(F.sum("x").alias("x")).collect()}  # a row for each confusion
+        chance = [min(0.2, (seen.get(i, 0.0) + PRIOR * PLACES) / (at[i] + PLACES)) for i in range(len(meant))]
+    cands = scored(chance).groupBy("word").agg(F.max("n").alias("n"), F.collect_list(F.struct("meant", "emit", "c")).alias("cands"), F.sum("e").alias("noise"))
+    return cands, float(sums.total or 0)
 
 
 class Channel:
-    """Reads words through character confusions."""
-
-    def __init__(self, words: np.ndarray, pairs: np.ndarray, most: int = 300_000):
-        self.words, self.pairs, self.most = words.tobytes(), pairs.tobytes(), most
-        self._mask = len(self.words) - 1
-        self.total = max(1e4, float(sum(np.bincount(words, minlength=256)[i] * s for i, s in enumerate(STEPS))))
-        self._hash: dict[str, int] = {}
-        self._count: dict[str, float] = {}
-        self._known: dict[str, list[tuple[str, int, float]]] = {}
-
-    def hash(self, w: str) -> int:
-        h = self._hash.get(w)
-        if h is None:
-            if len(self._hash) > self.most:
-                self._hash.clear()
-            h = self._hash[w] = xxhash.xxh64_intdigest(w)
-        return h
+    """Reads words through character confusions, by what is known of the words and pairs of a chunk."""
+
+    def __init__(self, total: float = 1e4):
+        self.total = max(1e4, total)
+        self.cands: dict[str, tuple[float, list[tuple[str, float, int]]]] = {}
+        self.counts: dict[str, int] = {}
+        self.pairs: dict[int, int] = {}
+
+    def hear(self, r: dict) -> None:
+        """Take in an answer: the candidates of a word, or the count of a word or of a pair."""
+        if r["_cands"] is not None:
+            own = 0.0 if r["_n"] <= BURST * r["_noise"] + 3 * math.sqrt(r["_noise"]) + 3 else float(r["_n"])
+            self.cands[r["_word"]] = (own, [(c["meant"], c["emit"], c["c"]) for c in r["_cands"]])
+            self.counts[r["_word"]] = r["_n"]
+            for c in r["_cands"]:
+                self.counts[c["meant"]] = c["c"]
+        elif r["_word"] is not None:
+            self.counts[r["_word"]] = r["_n"]
+        else:
+            self.pairs[r["_pair"]] = r["_n"]
 
     def count(self, w: str) -> float:
-        n = self._count.get(w)
-        if n is None:
-            if len(self._count) > self.most:
-                self._count.clear()
-            n = self._count[w] = STEPS[self.words[xxhash.xxh64_intdigest(w) & self._mask]]
-        return n
+        return self.counts.get(w, 0)
 
     def both(self, a: str, b: str) -> float:
-        return STEPS[self.pairs[pair_hash(self.hash(a), self.hash(b)) & self._mask]]
-
-    def meant(self, w: str) -> list[tuple[str, int, float]]:
-        """Words of the corpus that may have been misread as ``w``: (word, confusions, count), only far commoner ones."""
-        got = self._known.get(w)
-        if got is None:
-            if len(self._known) > self.most:
-                self._known.clear()
-            got = self._known[w] = self._meant(w)
-        return got
-
-    def _meant(self, w: str) -> list[tuple[str, int, float]]:
-        n = self.count(w)
-        digits = sum(c.isdigit() for c in w)
-        if len(w) < 2 or digits == len(w) or n > 20_000 and len(w) < 3 or len(w) > 40:
-            return []
-        out: dict[str, tuple[int, float]] = {}
-        layer = {w}
-        for k in (1, 2, 3):
-            new = set()
-            for v in layer:
-                for read, meant in CONFUSIONS:
-                    i = v.find(read)
-                    while i >= 0:
-                        x = v[:i] + meant + v[i + len(read) :]
-                        if x != w and x not in out and len(x) > 1:
-                            new.add(x)
-                        i = v.find(read, i + 1)
-                        if len(new) > 4000:
-                            break
-            for x in new:
-                c = self.count(x)
-                if c >= 20 and c > 4 * n and not any(d.isdigit() for d in x):
-                    out[x] = (k, c)
-            if out or k == 2 and (len(w) < 6 or len(new) > 400) or len(new) > 1500:
-                break
-            layer = new
-        best = sorted(out.items(), key=lambda v: -v[1][1] * CONFUSION ** v[1][0])[:4]
-        return [(v, k, c) for v, (k, c) in best]
-
-    def read(self, seen: list[str]) -> list[str]:
-        """The likeliest meant words for the words of a text.
-
-        A word without other readings leaves Viterbi no choice, so paths are only searched between such words.
-        """
-        open_ = [i for i, w in enumerate(seen) if self.meant(w)]
-        if not open_:
-            return seen
-        out, i = list(seen), 0
+        return self.pairs.get(pair_key(a, b), 0)
+
+    def meant(self, w: str) -> list[tuple[str, float, int]]:
+        """Words of the corpus that may have been misread as ``w``: (word, logarithm of the chance, count)."""
+        got = self.cands.get(w)
+        return got[1] if got else []
+
+    def stretches(self, seen: list[str]) -> list[tuple[int, int]]:
+        """Where words with other readings stand, each with a neighbour on both sides. A word without other readings leaves
+        Viterbi no choice, so paths are only searched between such words."""
+        open_ = [i for i, w in enumerate(seen) if w in self.cands]
+        out, i = [], 0
         while i < len(open_):
             j = i
             while j + 1 < len(open_) and open_[j + 1] == open_[j] + 1:
                 j += 1
-            lo, hi = max(0, open_[i] - 1), min(len(seen), open_[j] + 2)
-            out[lo:hi] = self._viterbi(seen[lo:hi])
+            out.append((max(0, open_[i] - 1), min(len(seen), open_[j] + 2)))
             i = j + 1
         return out
 
+    def needs(self, seen: list[str]) -> tuple[set[str], set[int]]:
+        """The words and pairs whose counts decide how ``seen`` is read."""
+        words: set[str] = set()
+        pairs: set[int] = set()
+        for lo, hi in self.stretches(seen):
+            before: list[str] = []
+            for w in seen[lo:hi]:
+                if w not in self.cands:
+                    words.add(w)
+                now = [w, *(v for v, _, _ in self.meant(w))]
+                pairs.update(pair_key(a, b) for a in before for b in now)
+                before = now
+        return words, pairs
+
+    def read(self, seen: list[str]) -> list[str]:
+        """The likeliest meant words for the words of a text."""
+        out = list(seen)
+        for lo, hi in self.stretches(seen):
+            out[lo:hi] = self._viterbi(seen[lo:hi])
+        return out
+
     def _viterbi(self, seen: list[str]) -> list[str]:
         score, back, states = [0.0], [], []
         for i, w in enumerate(seen):
-            cands = self.meant(w)
-            own = self.count(w)
-            if cands and own <= 3 + EXPECTED * max(c for _, _, c in cands):
-                own = 0.0
-            else:
-                own = max(0.0, own - 1)
-            now = [(w, math.log(0.96), False, own)] + [(v, k * math.log(CONFUSION), True, c) for v, k, c in cands]
+            own, cands = self.cands.get(w, (self.count(w), []))
+            now = [(w, math.log(0.96), False, max(0.0, own - 1))] + [(v, emit, True, c) for v, emit, c in cands]
             new, arg = [], []
             for v, emit, other, u in now:
                 floor = 0.3 * u / self.total + 0.02 / self.total
@@ -335,48 +399,46 @@ class Channel:
         return out[::-1]
 
 
-def misread(text: str, channel: Channel) -> list[tuple[str, str]]:
+def misread(seen: list[str], channel: Channel) -> list[tuple[str, str]]:
     """(seen, meant) for the misread words of a text."""
-    seen = tokens(text)
-    got = [(a, b) for a, b in zip(seen, channel.read(seen)) if a != b]
-    if any("ç" in b and "ç" not in a for a, b in got) and all(c <= "\x7f" for c in text if c.isalpha()):
-        # a text without any accent lacks them for another reason
-        got = [(a, b) for a, b in got if b.count("ç") <= a.count("ç")]
-    return got
+    return [(a, b) for a, b in zip(seen, channel.read(seen)) if a != b]
+
 
+_OWN_HYPHEN = re.compile(r"(\p{L}+)([-‐\xad¬]) *\r?\n\s*(\p{L}+)")
 
-def noises(text: str | None, block_type: str | None, titles: Titles, channel: Channel, starts: set[str] | None = None) -> set[str]:
-    """The sorts of noise in the text of one block of a scanned page."""
+
+def looked_at(text: str | None, block_type: str | None, titles: Titles, starts: set[str] | None = None) -> tuple[list[str], str, str, bool]:
+    """(sorts of noise that lines show, running text, headers, whether the text is code or a table) of a block."""
     if not text or not text.strip():
-        return set()
+        return [], text or "", "", True
     lines = sorted_lines(text, block_type, titles, starts=starts)
     out = {k for k, _ in lines if k != "text"}
     rest = "\n".join(x for k, x in lines if k == "text")
+    headers = "\n".join(x for k, x in lines if k == "header")
     if is_code(rest, block_type):
-        return out
-    if _DIVIDED.search(rest) or re.search(r"\p{L}{2}[-‐­¬]\s*$", rest):
+        return sorted(out), rest, "", True
+    if _DIVIDED.search(rest) or re.search(r"\p{L}{2}[-‐\xad¬]\s*$", rest):
         out.add("hyphen")
-    headers = "\n".join(x for k, x in lines if k == "header")
-    if misread(rest, channel) or headers and misread(headers, channel):
-        out.add("char")
-    return out
+    return sorted(out), rest, headers, False
 
 
-def cleaned(text: str | None, block_type: str | None, titles: Titles, channel: Channel, starts: set[str] | None = None) -> str | None:
-    """Continuous readable text of one block: without headers and page numbers, words joined and corrected; tables and code
-    keep their lines."""
-    if not text or not text.strip():
-        return text
-    rest = "\n".join(x for k, x in sorted_lines(text, block_type, titles, starts=starts) if k == "text")
-    if is_code(rest, block_type) or is_table(rest.split("\n"), block_type):
+def halves(rest: str) -> set[str]:
+    """Words and their halves where ``rest`` divides them at line ends."""
+    return {x.lower() for m in _OWN_HYPHEN.finditer(rest) for x in (m[1], m[3], m[1] + m[3])}
+
+
+def cleaned(rest: str, block_type: str | None, channel: Channel) -> str:
+    """Continuous readable text of the running text of a block: words joined and corrected; tables keep their lines."""
+    if is_table(rest.split("\n"), block_type):
         return rest
-    # a hyphen of the word's own stays where the joined word is unknown and its halves are known
+
+    # a hyphen of the word's own stays where the joined word is far rarer than its halves
     def join(m: re.Match) -> str:
         a, b = m[1], m[3]
-        whole, halves = channel.count((a + b).lower()), min(channel.count(a.lower()), channel.count(b.lower()))
-        return f"{a}-{b}" if whole < 2 and halves > 20 and "­" not in m[2] else a + b
+        whole, least = channel.count((a + b).lower()), min(channel.count(a.lower()), channel.count(b.lower()))
+        return f"{a}-{b}" if 20 * max(1, whole) < least and "\xad" not in m[2] else a + b
 
-    rest = re.sub(r"(\p{L}+)([-‐­¬]) *\r?\n\s*(\p{L}+)", join, rest)
+    rest = _OWN_HYPHEN.sub(join, rest)
     words = [m for m in _TOKEN.finditer(rest)]
     meant = channel.read([m[0].lower() for m in words])
     parts, at = [], 0
@@ -389,6 +451,11 @@ def cleaned(text: str | None, block_type: str | None, titles: Titles, channel: C
     return re.sub(r"[ \t]*\r?\n[ \t]*(?![-*•\d])", " ", rest).strip()
 
 
+def spoken(row: dict) -> list[list[str]]:
+    """The words of the running text and of the headers of a block that are read through the channel."""
+    return [] if row["fixed"] else [tokens(t) for t in (row["rest"], row["headers"]) if t]
+
+
 # --- over tables -----------------------------------------------------------------------------------------------------
 def titles_of(blocks: DataFrame, books: DataFrame, toc: DataFrame) -> DataFrame:
     """Distinct keys of the titles that running headers may show: of books, of chapters in tables of contents, of headings."""
@@ -425,33 +492,58 @@ def scanned_blocks(blocks: DataFrame, pages: DataFrame, books: DataFrame, toc: D
     return rows.drop("asked").join(hits, "id", "left")
 
 
-def _each(rows: DataFrame, table: tuple[np.ndarray, np.ndarray], fn, names: list[str], schema: str) -> DataFrame:
-    b = rows.sparkSession.sparkContext.broadcast(table)
+def _lines(blocks: DataFrame, pages: DataFrame, books: DataFrame, toc: DataFrame) -> DataFrame:
+    """Rows (id, block_type, sorts, rest, headers, fixed, chunk): what the lines of the blocks on scanned pages show."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        channel = Channel(*b.value)
-        for batch in batches:
-            out: list[list] = [[] for _ in names]
-            for i, raw, kind, book, st, known in zip(*(batch.column(x).to_pylist() for x in range(6))):
-                starts = {read_form(title_form(x)) for x in st or ()}
-                for row in fn(i, raw, kind, Titles(book, set(known or ())), channel, starts):
-                    for col, v in zip(out, row):
-                        col.append(v)
-            types = [pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(o, ty) for o, ty in zip(out, types)], names=names)
+    def look(cols: dict[str, list]) -> dict[str, list]:
+        out = []
+        for raw, kind, book, st, known in zip(*(cols[c] for c in ("raw", "block_type", "book_id", "starts", "known"))):
+            out.append(looked_at(raw, kind, Titles(book, set(known or ())), {read_form(title_form(x)) for x in st or ()}))
+        return {"id": cols["id"], "block_type": cols["block_type"], **{n: [o[i] for o in out] for i, n in enumerate(("sorts", "rest", "headers", "fixed"))}}
 
-    return rows.select("id", "raw", "block_type", "book_id", "starts", "known").mapInArrow(run, schema)
+    rows = arrow_map(scanned_blocks(blocks, pages, books, toc).select("id", "raw", "block_type", "book_id", "starts", "known"), look, "id bigint, block_type string, sorts array<string>, rest string, headers string, fixed boolean")
+    return deal(rows, "id", "rest", "headers")
+
+
+def _read(lines: DataFrame, blocks: DataFrame, fn, more, schema: str) -> DataFrame:
+    """What ``fn`` makes of each block and a channel that knows all it needs; ``more`` are further words to count."""
+    counts = corpus_counts(blocks, "raw_text")
+    cands, total = learned(misreadings(counts), counts)
+    words = ask(lines, lambda r: {w for t in spoken(r) for w in t}, "word string")
+    null = lambda t: F.lit(None).cast(t)
+    known = cut_lineage(words.join(cands, "word").select("chunk", "word", null("bigint").alias("pair"), "n", "cands", "noise"))
+
+    def needs(channel: Channel, r: dict) -> Iterator[tuple]:
+        asked: set[str] = set(more(r))
+        for t in spoken(r):
+            w, p = channel.needs(t)
+            asked |= w
+            yield from ((r["chunk"], None, x) for x in p)
+        yield from ((r["chunk"], x, None) for x in asked)
+
+    wanted = tell(lines, known, Channel.hear, lambda: Channel(total), needs, "chunk int, word string, pair bigint").distinct()
+    as_answer = lambda df: df.select("chunk", "word", "pair", "n", null(known.schema["cands"].dataType).alias("cands"), null("double").alias("noise"))
+    by_word = as_answer(wanted.where("word is not null").drop("pair").join(counts.where("word is not null").select("word", "n"), "word").withColumn("pair", null("bigint")))
+    by_pair = as_answer(wanted.where("pair is not null").drop("word").join(counts.where("pair is not null").select("pair", "n"), "pair").withColumn("word", null("string")))
+    return tell(lines, known.unionByName(by_word).unionByName(by_pair), Channel.hear, lambda: Channel(total), fn, schema)
 
 
 def found(blocks: DataFrame, pages: DataFrame, books: DataFrame, toc: DataFrame) -> DataFrame:
     """Rows (block_uid, noise): one for each sort of noise of a block on a scanned page."""
-    rows = scanned_blocks(blocks, pages, books, toc)
-    table = corpus_counts(blocks, "raw_text")
-    return _each(rows, table, lambda i, raw, kind, t, ch, st: [(i, n) for n in sorted(noises(raw, kind, t, ch, st))], ["block_uid", "noise"], "block_uid bigint, noise string").distinct()
+
+    def sorts(channel: Channel, r: dict) -> Iterator[tuple]:
+        for n in r["sorts"]:
+            yield r["id"], n
+        if any(misread(t, channel) for t in spoken(r)):
+            yield r["id"], "char"
+
+    return _read(_lines(blocks, pages, books, toc), blocks, sorts, lambda r: (), "block_uid bigint, noise string").distinct()
 
 
 def repaired(blocks: DataFrame, pages: DataFrame, books: DataFrame, toc: DataFrame) -> DataFrame:
     """Rows (block_uid, clean_text): continuous readable text of the blocks on scanned pages; empty where nothing but noise was."""
-    rows = scanned_blocks(blocks, pages, books, toc)
-    table = corpus_counts(blocks, "raw_text")
-    return _each(rows, table, lambda i, raw, kind, t, ch, st: [(i, cleaned(raw, kind, t, ch, st))], ["block_uid", "clean_text"], "block_uid bigint, clean_text string").groupBy("block_uid").agg(F.max("clean_text").alias("clean_text"))
+
+    def repair(channel: Channel, r: dict) -> Iterator[tuple]:
+        yield r["id"], r["rest"] if r["fixed"] else cleaned(r["rest"], r["block_type"], channel)
+
+    return _read(_lines(blocks, pages, books, toc), blocks, repair, lambda r: () if r["fixed"] else halves(r["rest"]), "block_uid bigint, clean_text string").groupBy("block_uid").agg(F.max("clean_text").alias("clean_text"))

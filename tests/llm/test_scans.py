@@ -47,3 +47,26 @@ def test_found_and_repaired(spark):
 def test_empty(spark):
     args = tables(spark, [])
     assert S.found(*args).count() == 0 and S.repaired(*args).count() == 0
+
+
+def test_confusions_against_brute_force():
+    rnd = random.Random(2)
+    for w in ("kettle", "minim", "hill", "würde", "wander", "clown", "сонный"):
+        layer, seen = {w}, {w: 0}
+        for k in (1, 2):
+            layer = {v[:i] + a + v[i + len(b) :] for v in layer for a, b in S.CONFUSIONS for i in range(len(v)) if v.startswith(b, i)}
+            for v in layer:
+                seen.setdefault(v, k)
+        for v, k in rnd.sample(sorted(seen.items()), min(60, len(seen))):
+            assert S.read_form(v) == S.read_form(w)
+            how = S.confused(w, v)
+            assert how is not None and len(how) <= k, (w, v)
+        assert S.confused(w, w + "z") is None and S.confused(w, w) == []
+
+
+def test_misreadings_are_found_at_any_size_of_the_corpus(spark):
+    for times in (1, 40):
+        rows = [(i, "b", 2, SENT[i % 4], "paragraph", "", "", 0) for i in range(24 * times)]
+        rows += [(10_000 + i, "b", 0, "Nobody asked why fhe lantern stays under the tablc.", "paragraph", "", "", 0) for i in range(times)]
+        got = S.found(*tables(spark, rows)).where("noise = 'char'").count()
+        assert got == times, times
