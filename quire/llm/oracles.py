@@ -27,7 +27,7 @@ def _shape_sql(c: str) -> str:
     one = [(chr(x), to) for x, to in visual._FOLDED.items() if to is not None and len(to) == 1 and to != chr(x) and chr(x) not in gone]
     folded = f"translate({c}, {q(''.join(a for a, _ in one) + gone)}, {q(''.join(b for _, b in one))})"
     composed = []
-    for x in [*range(0x370, 0x530), *range(0x1F00, 0x2000)]:
+    for x in sorted({*range(0x370, 0x530), *range(0x1F00, 0x2000), *map(ord, visual.LOOK_ALIKES)}):
         to = unicodedata.normalize("NFC", unicodedata.normalize("NFD", chr(x)).translate(visual._shape))
         if len(to) == 1 and to != chr(x) and unicodedata.normalize("NFC", chr(x)) == chr(x):
             composed.append((chr(x), to))
@@ -39,6 +39,11 @@ WITH b AS (SELECT block_uid, any_value(book_id) AS book_id, any_value(raw_text)
 s AS (SELECT *, {_shape_sql("t")} AS look FROM b)
 SELECT x.block_uid AS block_uid_a, y.block_uid AS block_uid_b FROM s x JOIN s y ON x.book_id = y.book_id AND x.look = y.look AND x.block_uid < y.block_uid AND x.t <> y.t"""
 
+P7_GROUPS = f"""
+WITH b AS (SELECT block_uid, any_value(book_id) AS book_id, any_value(raw_text) AS t FROM raw_blocks WHERE raw_text <> '' GROUP BY ALL),
+s AS (SELECT *, {_shape_sql("t")} AS look FROM b)
+SELECT block_uid, group_id, variants FROM s JOIN (SELECT book_id, look, min(block_uid) AS group_id, count(DISTINCT t) AS variants FROM s WHERE book_id IS NOT NULL GROUP BY ALL HAVING count(DISTINCT t) > 1) USING (book_id, look)"""
+
 _PLAIN = r"trim(regexp_replace(lower(nfc_normalize({c})), '\s+', ' ', 'g'))"
 _BARE = r"trim(regexp_replace({c}, '[^\p{{L}}\p{{M}}\p{{N}}]+', ' ', 'g'))"
 _NAMED = "(" + ", ".join(q(x) for x in sorted(NOBODY)) + ")"
@@ -53,4 +58,4 @@ SELECT a AS book_id, least(a, min(b)) AS group_id FROM r GROUP BY a"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": P3, "p6_found": P6, "p7_found": P7}
+    return {"p3_found": P3, "p6_found": P6, "p7_found": P7, "p7_groups": P7_GROUPS}

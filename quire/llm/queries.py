@@ -72,6 +72,10 @@ def p7_found(s: SparkSession, d: str) -> DataFrame:
     return got.select(got.a.alias("block_uid_a"), got.b.alias("block_uid_b"))
 
 
+def p7_groups(s: SparkSession, d: str) -> DataFrame:
+    return visual.groups(table(s, d, "raw_blocks"), "block_uid", "book_id", "raw_text").withColumnRenamed("id", "block_uid")
+
+
 def p7_normalized(s: SparkSession, d: str) -> DataFrame:
     return visual.normalized(table(s, d, "raw_blocks"), "block_uid", "raw_text")
 
