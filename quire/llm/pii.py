@@ -2,7 +2,10 @@
 
 Regular expressions propose spans, checksum validators and the words around a span adjust its score, and spans that reach
 the threshold become findings. Names are proposed from a list of given names, titles and cue phrases; given names missing
-from the list are learned from the whole corpus: a word that cue phrases introduce as a given name in enough documents.
+from the list are learned from the whole corpus: words that cue phrases introduce as a given name far oftener than they
+are written in lower case. Words that are written in lower case often enough, compared with how often they are proposed as
+part of a name, are common words. Only such ratios decide, and counts meet the proposals by equi-joins, so neither the
+size of the corpus nor that of a vocabulary matters. Texts are read once.
 
 Defined results: NULL, empty and blank texts have no findings and are kept unchanged by :func:`redact`; a repeated
 ``doc_id`` gives each finding once; other columns of the input are ignored.
@@ -15,15 +18,16 @@ import functools
 import unicodedata
 
 import regex as re
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import arrow_map
+from quire.session import cut_lineage, hub
 
 KINDS = ("email", "phone", "id_number", "address", "name")
 THRESHOLD = 1.0
-#: Learned vocabularies are broadcast; these bound their sizes. Listed names are all kept.
-MAX_GIVEN, MAX_COMMON = 20_000, 50_000
+#: Share of lower case among the uses of a word from which it is common, and share of cues from which it is a given name.
+COMMON, CUED = 0.1, 0.5
 
 # --- email ---------------------------------------------------------------------------------------------------------
 _AT = r"(?:[@＠]|\s*[\[({<]\s*(?:at|ät|arroba|a|собака)\s*[\])}>]\s*|\s+(?:AT|ARROBA|СОБАКА)\s+|\s+(?:arroba|собака)\s+)"
@@ -39,19 +43,15 @@ _NOT_PHONE = re.compile(r"(?i)\b(?:isbn|issn|order|code|version|invoice|standard
 
 # --- identity numbers ------------------------------------------------------------------------------------------------
 _ID_LABEL = (
-    r"passports?|identity\s+card|id\s+card|driv(?:er|ing)['’]?s?\s+licen[cs]e|social\s+security|ssn|national\s+(?:insurance\s+)?number|tax\s+(?:id|number|payer)|nino|tin"
+    r"passports?|sin|social\s+insurance|identity\s+card|id\s+card|driv(?:er|ing)['’]?s?\s+licen[cs]e|social\s+security|ssn|national\s+(?:insurance\s+)?number|tax\s+(?:id|number|payer)|nino|tin"
     r"|dni|nie|nif|niss|cpf|rg|curp|s[ée]curit[ée]\s+sociale|carte\s+(?:nationale\s+)?d['’]identit[ée]|passeport|permis\s+de\s+conduire|num[ée]ro\s+fiscal"
     r"|(?:personal)?ausweis\p{L}*|reisepass\p{L}*|f[üu]hrerschein\p{L}*|steuer-?\s?(?:id|nummer|identifikationsnummer)|sozialversicherungs\p{L}*"
     r"|pasaporte|carn[ée]\s+de\s+conducir|permiso\s+de\s+conducir|seguridad\s+social|passaporte|carteira\s+de\s+(?:identidade|motorista|habilitação)|bilhete\s+de\s+identidade|cart[ãa]o\s+de\s+cidad[ãa]o|contribuinte"
     r"|паспорт\p{L}*|инн|снилс|водительск\p{L}+\s+удостоверени\p{L}+"
 )
-ID_LABELLED = re.compile(rf"(?i)(?<![\p{{L}}\d])(?:{_ID_LABEL})(?:\s+|\s*[:#№(-]\s*)(?:(?:no|nr|number|nummer|num|n[°º]|número|numéro|is|ist|es|é|est|серия|номер|№)[.:]?\s*){{0,2}}[:#№]?\s*(?P<v>(?-i:[A-ZА-Я]{{0,3}})[ -]?\d[\d\s. /‐‑-]*(?:\d|(?<=\d[ -]?)(?-i:[A-Z]))(?:-?(?-i:[A-Z]))?)(?![\p{{L}}\d])")
+ID_LABELLED = re.compile(rf"(?i)(?<![\p{{L}}\d])(?P<label>{_ID_LABEL})(?:\s+|\s*[:#№(-]\s*)(?:(?:no|nr|number|nummer|num|n[°º]|número|numéro|is|ist|es|é|est|серия|номер|№)[.:]?\s*){{0,2}}[:#№]?\s*(?P<v>(?-i:[A-ZА-Я]{{0,3}})[ -]?\d[\d\s. /‐‑-]*(?:\d|(?<=\d[ -]?)(?-i:[A-Z]))(?:-?(?-i:[A-Z]))?)(?![\p{{L}}\d])")
 _DIGITS = re.compile(r"\d(?:[\s. /‐‑-]?[\dA-ZА-Я]){4,}")
-ID_SHAPES = (
-    (re.compile(r"(?<![\d.-])\d{3}\.\d{3}\.\d{3}-\d{2}(?![\d-])"), 1.0),  # CPF
-    (re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"), 0.7),  # social security
-    (re.compile(r"(?<![\w-])[XYZ]?\d{7,8}-[A-Z](?![\w-])"), 0.7),  # DNI, NIE
-)
+_ISBN_CUE = re.compile(r"(?i)\b(?:isbn|order|code|version|build|invoice)\b")
 _ID_CUE = re.compile(r"(?i)\b(?:papers?|lending form|belongs|document\w*|identi\w+|registo|ejemplar|dossier|дел\w|signed)\b")
 
 # --- addresses -----------------------------------------------------------------------------------------------------
@@ -121,17 +121,75 @@ def dni_valid(d: str, letter: str) -> bool:
     return "TRWAGMYFPDXBNJZSQVHLCKE"[int(d) % 23] == letter
 
 
-def id_checksum(value: str) -> bool:
-    """Whether a checksum rule of any known sort of number confirms ``value``."""
-    d = re.sub(r"\D", "", value)
-    m = re.fullmatch(r"(\d{8})-?([A-Z])", value.strip())
-    if m:
-        return dni_valid(m[1], m[2])
-    if len(d) == 11 and cpf_valid(d):
-        return True
-    if len(d) == 15:
-        return mod97(d[:13], d[13:])
-    return len(d) in (9, 11) and luhn(d)
+def nie_valid(lead: str, d: str, letter: str) -> bool:
+    return dni_valid(str("XYZ".index(lead)) + d, letter)
+
+
+def ssn_valid(d: str) -> bool:
+    """No checksum, but areas, groups and serial numbers that are never given."""
+    return d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
+
+
+def snils_valid(d: str) -> bool:
+    total = sum(int(c) * (9 - i) for i, c in enumerate(d[:9])) % 101 % 100
+    return total == int(d[9:])
+
+
+def inn_valid(d: str) -> bool:
+    def check(weights: tuple[int, ...]) -> int:
+        return sum(w * int(c) for w, c in zip(weights, d)) % 11 % 10
+
+    return check((7, 2, 4, 10, 3, 5, 9, 4, 6, 8)) == int(d[10]) and check((3, 7, 2, 4, 10, 3, 5, 9, 4, 6, 8)) == int(d[11])
+
+
+def steuer_valid(d: str) -> bool:
+    """German tax number: a running product modulo 10 and 11."""
+    p = 10
+    for c in d[:10]:
+        t = (int(c) + p) % 10 or 10
+        p = t * 2 % 11
+    return (11 - p) % 10 == int(d[10])
+
+
+#: Numbers known by their shape alone: (pattern, score without a check, rule that confirms or refutes it).
+ID_SHAPES = (
+    (re.compile(r"(?<![\d.-])\d{3}\.\d{3}\.\d{3}-\d{2}(?![\d-])"), 1.0, lambda v, d: cpf_valid(d)),
+    (re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"), 0.7, lambda v, d: ssn_valid(d)),
+    (re.compile(r"(?<![\w-])\d{8}-?[A-Z](?![\w-])"), 0.7, lambda v, d: dni_valid(d, v[-1])),
+    (re.compile(r"(?<![\w-])[XYZ]-?\d{7}-?[A-Z](?![\w-])"), 0.7, lambda v, d: nie_valid(v[0], d, v[-1])),
+    (re.compile(r"(?<![\w.-])[12][ .]?\d{2}[ .]?\d{2}[ .]?\d{2}[ .]?\d{3}[ .]?\d{3}[ .]?\d{2}(?![\w-])"), 0.6, lambda v, d: mod97(d[:13], d[13:])),
+    (re.compile(r"(?<![\d-])\d{3}-\d{3}-\d{3}[ -]\d{2}(?![\d-])"), 0.6, lambda v, d: snils_valid(d)),
+    (re.compile(r"(?<![\d.-])\d{3}[ -]\d{3}[ -]\d{3}(?![\d-]|[ .]\d)"), 0.2, lambda v, d: luhn(d)),
+)
+#: What a check adds where it confirms a number, and takes off where it refutes it.
+CONFIRMED, REFUTED = 0.4, 0.2
+#: What a label before a number is worth.
+LABELLED = 1.2
+
+
+def checked(value: str, label: str) -> float:
+    """What the rule of the sort of number that ``label`` names says of ``value``: 0 where there is none for it."""
+    v, d, low = value.strip(), re.sub(r"\D", "", value), label.casefold()
+    rule = None
+    if low in ("cpf", "contribuinte") and len(d) == 11:
+        rule = cpf_valid(d)
+    elif low in ("dni", "nif") and len(d) == 8 and v[-1].isalpha():
+        rule = dni_valid(d, v[-1])
+    elif low == "nie" and len(d) == 7 and v[:1] in "XYZ" and v[-1].isalpha():
+        rule = nie_valid(v[0], d, v[-1])
+    elif low in ("ssn", "social security") and len(d) == 9:
+        rule = ssn_valid(d)
+    elif low.endswith("sociale") and len(d) == 15:
+        rule = mod97(d[:13], d[13:])
+    elif low == "снилс" and len(d) == 11:
+        rule = snils_valid(d)
+    elif low == "инн" and len(d) == 12:
+        rule = inn_valid(d)
+    elif low.startswith("steuer") and len(d) == 11:
+        rule = steuer_valid(d)
+    elif low in ("sin", "social insurance") and len(d) == 9:
+        rule = luhn(d)
+    return 0.0 if rule is None else CONFIRMED if rule else -REFUTED
 
 
 def _near(text: str, start: int, cue: re.Pattern, width: int) -> int:
@@ -156,14 +214,15 @@ def _ids(text: str, out: list) -> None:
         for m in ID_LABELLED.finditer(text, max(at, run.start() - 80), min(len(text), run.end() + 8)):
             v = m["v"]
             at = m.end()
-            if sum(c.isdigit() for c in v) >= 6:
+            # a label is worth more than the threshold, so that a number that its rule refutes is still one
+            if sum(c.isdigit() for c in v) >= 6 and LABELLED + checked(v, " ".join(m["label"].split())) >= THRESHOLD:
                 s = m.start("v") + len(v) - len(v.lstrip(" -"))
                 out.append((s, m.start("v") + len(v.rstrip()), "id_number"))
-    for shape, score in ID_SHAPES:
+    for shape, score, rule in ID_SHAPES:
         for m in shape.finditer(text):
-            score_here = score + 0.5 * id_checksum(m[0]) + 0.5 * (0 <= _near(text, m.start(), _ID_CUE, 60))
-            score_here -= 1.0 * (0 <= _near(text, m.start(), re.compile(r"(?i)\b(?:isbn|order|code|version|build|invoice)\b"), 25))
-            if score_here >= THRESHOLD:
+            score_here = score + (CONFIRMED if rule(m[0], re.sub(r"\D", "", m[0])) else -REFUTED)
+            score_here += 0.5 * (0 <= _near(text, m.start(), _ID_CUE, 60)) - 1.0 * (0 <= _near(text, m.start(), _ISBN_CUE, 25))
+            if score_here >= THRESHOLD - 1e-9:
                 out.append((m.start(), m.end(), "id_number"))
 
 
@@ -209,16 +268,6 @@ def _addresses(text: str, taken: list, out: list) -> None:
                 out.append((m.start(), m.end(), "address"))
 
 
-def cued_given(text: str) -> set[str]:
-    """Words that cue phrases of ``text`` introduce as given names, in folded form."""
-    found = set()
-    for m in PAIR.finditer(text):
-        s, e = m.start("g"), m.end("f")
-        if (_CUE_BEFORE.search(text, max(0, s - 30), s) or _CUE_AFTER.match(text, e)) and not _FIRM_AFTER.match(text, e) and not re.match(_TITLE + r"\Z", m["g"]):
-            found.add(fold(m["g"]))
-    return found
-
-
 _PLAIN = re.compile(r"(?<![\p{L}\d@._+])\p{Ll}{2,}(?![\p{L}\d@_+])")
 
 
@@ -229,129 +278,174 @@ def plain_words(text: str) -> set[str]:
     return {fold(w) for w in set(_PLAIN.findall(text))}
 
 
-def _names(text: str, given: set[str], common: set[str], taken: list, out: list) -> None:
+_A_TITLE = re.compile(_TITLE + r"\Z")
+TITLE, COMMA, PLAIN = range(3)
+
+
+def proposed_names(text: str, taken: list) -> list[tuple]:
+    """(start, end, sort, given, family, cued, upper, the) of what may be a name outside the spans ``taken``: with a title,
+    with a comma between family and given name, or plain. Names are folded; ``the`` tells of an article before it."""
+    out = []
+
     def free(s: int, e: int) -> bool:
         return not any(s < b and a < e for a, b, _ in taken)
 
+    def cued(s: int, e: int) -> bool:
+        return bool(_CUE_BEFORE.search(text, max(0, s - 30), s) or _CUE_AFTER.match(text, e))
+
     for m in TITLED.finditer(text):
         s, e = m.span("n")
-        if free(s, e) and not _FIRM_AFTER.match(text, e) and fold(m["n"].split()[-1]) not in common:
-            out.append((s, e, "name"))
+        if free(s, e) and not _FIRM_AFTER.match(text, e):
+            out.append((s, e, TITLE, None, fold(m["n"].split()[-1]), False, False, False))
     for m in INVERTED.finditer(text):
         s, e = m.start(), m.end()
-        g, f = fold(m["g"]), m["f"]
-        if g in given and fold(f) not in common and fold(f) not in given and free(s, e):
-            cued = _CUE_BEFORE.search(text, max(0, s - 30), s) or _CUE_AFTER.match(text, e)
-            if f.isupper() or cued:
-                out.append((s, e, "name"))
+        if free(s, e) and (m["f"].isupper() or cued(s, e)):
+            out.append((s, e, COMMA, fold(m["g"]), fold(m["f"]), False, m["f"].isupper(), False))
     for m in PAIR.finditer(text):
         s, e = m.start("g"), m.end("f")
-        g, f = fold(m["g"]), m["f"]
-        if not free(s, e) or _FIRM_AFTER.match(text, e) or re.match(_TITLE + r"\Z", m["g"]):
-            continue
-        last = fold(f.split()[-1])
-        cued = bool(_CUE_BEFORE.search(text, max(0, s - 30), s) or _CUE_AFTER.match(text, e))
-        score = 0.7 * (g in given) + 0.5 * cued + (0.3 if last not in common and last not in given else -0.6) - (0.5 if g in common and g not in given else 0)
-        if text[s - 4 : s].lower() == "the ":
-            score -= 0.5
-        if score >= 0.8:
-            out.append((s, e, "name"))
+        if free(s, e) and not _FIRM_AFTER.match(text, e) and not _A_TITLE.match(m["g"]):
+            out.append((s, e, PLAIN, fold(m["g"]), fold(m["f"].split()[-1]), cued(s, e), False, text[max(0, s - 4) : s].lower() == "the "))
+    return out
 
 
-def spans(text: str | None, given: set[str] = frozenset(), common: set[str] = frozenset()) -> list[tuple[int, int, str]]:
-    """Findings in ``text`` as (start, end, kind), in order of place. Overlapping findings of one kind are joined."""
-    if not text or text.isspace():
-        return []
+def is_name(sort: int, cued: bool, the: bool, first: tuple[bool, bool], last: tuple[bool, bool]) -> bool:
+    """Whether a proposal is a name, by whether its first and last word are (given names, common words)."""
+    (g_given, g_common), (f_given, f_common) = first, last
+    if sort == TITLE:
+        return not f_common
+    if sort == COMMA:
+        return g_given and not f_common and not f_given
+    score = 0.7 * g_given + 0.5 * cued + (-0.6 if f_common or f_given else 0.3) - 0.5 * (g_common and not g_given) - 0.5 * the
+    return score >= 0.8 - 1e-9
+
+
+def hard_spans(text: str) -> list[tuple[int, int, str]]:
+    """Findings that no vocabulary is needed for."""
     hard: list = []
     _emails(text, hard)
     _ids(text, hard)
     _addresses(text, hard, hard)
     _phones(text, hard, hard)
-    out = list(hard)
-    _names(text, given, common, hard, out)
-    out.sort()
-    joined: list = []
-    for s, e, k in out:
-        if joined and joined[-1][2] == k and s < joined[-1][1]:
-            joined[-1] = (joined[-1][0], max(e, joined[-1][1]), k)
+    return hard
+
+
+def joined(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Spans in order of place; overlapping ones of one kind are one."""
+    out: list = []
+    for s, e, k in sorted(spans):
+        if out and out[-1][2] == k and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]), k)
         else:
-            joined.append((s, e, k))
-    return joined
+            out.append((s, e, k))
+    return out
 
 
-def replace_spans(text: str | None, given: set[str] = frozenset(), common: set[str] = frozenset()) -> str | None:
+def spans(text: str | None, given: set[str] = frozenset(), common: set[str] = frozenset()) -> list[tuple[int, int, str]]:
+    """Findings in ``text`` as (start, end, kind), in order of place."""
+    if not text or text.isspace():
+        return []
+    hard = hard_spans(text)
+    fact = lambda w: (w in given, w in common)
+    return joined(hard + [(s, e, "name") for s, e, sort, g, f, cued, _, the in proposed_names(text, hard) if is_name(sort, cued, the, fact(g), fact(f))])
+
+
+def replaced(text: str, found: list[tuple[int, int, str]]) -> str:
     """``text`` with each finding replaced by its kind in angle brackets."""
-    if not text:
-        return text
     parts, at = [], 0
-    for s, e, k in spans(text, given, common):
+    for s, e, k in found:
         if e > at:
             parts += [text[at : max(s, at)], f"<{k.upper()}>"]
             at = e
     return "".join(parts) + text[at:]
 
 
-def learn(docs: DataFrame, names: DataFrame, least: int = 3) -> tuple[set[str], set[str]]:
-    """Given names (listed ones and those learned from cues) and common lower-case words of the whole corpus.
+def replace_spans(text: str | None, given: set[str] = frozenset(), common: set[str] = frozenset()) -> str | None:
+    return replaced(text, spans(text, given, common)) if text else text
+
 
-    Counts run over every document; all listed names, but only the most frequent ``MAX_GIVEN`` learned names and ``MAX_COMMON``
-    common words reach the driver.
-    """
-    def count(cols: dict[str, list]) -> dict[str, list]:
-        c: dict[tuple[str, int], int] = {}
-        for t in cols["text"]:
-            if not t:
+_SPAN = "array<struct<s: int, e: int, line: int, kind: string>>"
+_NAME = "array<struct<s: int, e: int, line: int, sort: int, first: string, last: string, cued: boolean, the: boolean>>"
+LOWER, INTRODUCED, PROPOSED = range(3)
+
+
+def scanned(docs: DataFrame) -> DataFrame:
+    """One pass over all texts, written once: rows (h, hard, names) with what each text (by its hash) proposes, and rows
+    (word, sort, n) with the number of texts that write a word in lower case, introduce it as a given name, or propose it
+    as part of a name."""
+
+    def run(cols: dict[str, list]) -> dict[str, list]:
+        rows, c = [], {}
+        for h, t in zip(cols["h"], cols["text"]):
+            if t.isspace():
                 continue
-            for w in plain_words(t):
-                k = (w, 0)
+            hard = hard_spans(t)
+            names = proposed_names(t, hard)
+            words = {(w, LOWER) for w in plain_words(t)}
+            words |= {(n[3], INTRODUCED) for n in names if n[2] == PLAIN and n[5]} | {(w, PROPOSED) for n in names for w in (n[3], n[4]) if w}
+            for k in words:
                 c[k] = c.get(k, 0) + 1
-            for w in cued_given(t):
-                c[(w, 1)] = c.get((w, 1), 0) + 1
-        return {"word": [k[0] for k in c], "sort": [k[1] for k in c], "n": list(c.values())}
-
-    totals = arrow_map(docs.select("text"), count, "word string, sort int, n bigint").groupBy("word", "sort").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    top = lambda sort, most: {r.word: r.n for r in totals.where(F.col("sort") == sort).orderBy(F.desc("n"), "word").limit(most).collect()}
-    totals = totals.persist()
-    common, learned = top(0, MAX_COMMON), top(1, MAX_GIVEN)
-    totals.unpersist()
-    listed = {fold(r.given_name) for r in names.select("given_name").dropna().distinct().collect()}
-    return listed | {w for w, n in learned.items() if 2 * n >= common.get(w, 0)}, set(common)
+            if hard or names:
+                ends = [m.start() for m in re.finditer("\n", t)]
+                line = lambda s: bisect.bisect_left(ends, s) + 1
+                rows.append((h, [{"s": s, "e": e, "line": line(s), "kind": k} for s, e, k in hard], [{"s": n[0], "e": n[1], "line": line(n[0]), "sort": n[2], "first": n[3], "last": n[4], "cued": n[5], "the": n[7]} for n in names]))
+        n, m = len(rows), len(c)
+        return {
+            "h": [r[0] for r in rows] + [None] * m, "hard": [r[1] for r in rows] + [None] * m, "names": [r[2] for r in rows] + [None] * m,
+            "word": [None] * n + [k[0] for k in c], "sort": [None] * n + [k[1] for k in c], "n": [None] * n + list(c.values()),
+        }
+
+    own = docs.where(F.length("text") > 0).select(_digest().alias("h"), "text")
+    return hub(arrow_map(own, run, f"h string, hard {_SPAN}, names {_NAME}, word string, sort int, n bigint"))
+
+
+def _digest() -> Column:
+    return F.md5(F.encode("text", "UTF-8"))
+
+
+def vocabulary(read: DataFrame, names: DataFrame) -> DataFrame:
+    """Rows (word, given, common) of the words that are proposed as part of a name; all listed names are given names."""
+    count = lambda sort: F.sum(F.when(F.col("sort") == sort, F.col("n")).otherwise(0))
+    n = read.where("word is not null").groupBy("word").agg(count(LOWER).alias("low"), count(INTRODUCED).alias("cued"), count(PROPOSED).alias("named")).where("named > 0")
+    listed = arrow_map(names.select("given_name").where("given_name is not null"), lambda c: {"word": [fold(x) for x in c["given_name"]]}, "word string").distinct().withColumn("listed", F.lit(True))
+    given = F.coalesce("listed", F.lit(False)) | (F.col("cued") / (F.col("cued") + F.col("low") + 2) >= CUED)
+    return n.join(listed, "word", "left").select("word", given.alias("given"), (F.col("low") / (F.col("low") + F.col("named") + 1) >= COMMON).alias("common"))
+
+
+def findings(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """Rows (h, spans): the findings of each distinct text that has any, in order of place."""
+    read = scanned(docs)
+    known = cut_lineage(vocabulary(read, names))
+    texts = read.where("h is not null").select("h", "hard", "names").dropDuplicates(["h"])
+    each = texts.select("h", F.explode("names").alias("n")).select("h", "n.*")
+    facts = lambda side: known.select(F.col("word").alias(side), F.struct("given", "common").alias(f"{side}_is"))
+    judged = each.join(facts("first"), "first", "left").join(facts("last"), "last", "left").groupBy("h").agg(F.collect_list(F.struct("s", "e", "line", "sort", "cued", "the", "first_is", "last_is")).alias("names"))
+
+    def run(cols: dict[str, list]) -> dict[str, list]:
+        out = []
+        fact = lambda x: (x["given"], x["common"]) if x else (False, False)
+        for hard, proposals in zip(cols["hard"], cols["names"]):
+            lines = {x["s"]: x["line"] for x in (*hard, *(proposals or ()))}
+            got = [(x["s"], x["e"], x["kind"]) for x in hard]
+            got += [(x["s"], x["e"], "name") for x in proposals or () if is_name(x["sort"], x["cued"], x["the"], fact(x["first_is"]), fact(x["last_is"]))]
+            out.append([{"s": s, "e": e, "line": lines[s], "kind": k} for s, e, k in joined(got)])
+        return {"h": cols["h"], "spans": out}
+
+    return arrow_map(texts.drop("names").join(judged, "h", "left"), run, f"h string, spans {_SPAN}")
 
 
 def found(docs: DataFrame, names: DataFrame) -> DataFrame:
     """Rows (doc_id, line_no, kind): one for each line and kind where a mention begins; lines are split at newline."""
-    given, common = learn(docs, names)
-    b = docs.sparkSession.sparkContext.broadcast((given, common))
-
-    def rows(cols: dict[str, list]) -> dict[str, list]:
-        g, w = b.value
-        ids, lines, kinds = [], [], []
-        for i, t in zip(cols["doc_id"], cols["text"]):
-            if i is None or not t:
-                continue
-            ends: list[int] | None = None
-            seen = set()
-            for s, _, k in spans(t, g, w):
-                if ends is None:
-                    ends = [m.start() for m in re.finditer("\n", t)]
-                key = (bisect.bisect_left(ends, s) + 1, k)
-                if key not in seen:
-                    seen.add(key)
-                    ids.append(i)
-                    lines.append(key[0])
-                    kinds.append(k)
-        return {"doc_id": ids, "line_no": lines, "kind": kinds}
-
-    return arrow_map(docs.select("doc_id", "text"), rows, "doc_id bigint, line_no bigint, kind string").distinct()
+    own = docs.where(F.col("doc_id").isNotNull() & (F.length("text") > 0)).select(F.col("doc_id").cast("bigint"), _digest().alias("h"))
+    rows = own.join(findings(docs, names), "h").select("doc_id", F.explode("spans").alias("x"))
+    return rows.select("doc_id", F.col("x.line").cast("bigint").alias("line_no"), F.col("x.kind").alias("kind")).distinct()
 
 
 def redact(docs: DataFrame, names: DataFrame) -> DataFrame:
     """Rows (doc_id, text, redacted): each document with its findings replaced by typed placeholders."""
-    given, common = learn(docs, names)
-    b = docs.sparkSession.sparkContext.broadcast((given, common))
 
-    def rows(cols: dict[str, list]) -> dict[str, list]:
-        g, w = b.value
-        return {"doc_id": cols["doc_id"], "redacted": [replace_spans(t, g, w) for t in cols["text"]]}
+    def run(cols: dict[str, list]) -> dict[str, list]:
+        out = [replaced(t, [(x["s"], x["e"], x["kind"]) for x in f]) if f else t for t, f in zip(cols["text"], cols["spans"])]
+        return {"doc_id": cols["doc_id"], "text": cols["text"], "redacted": out}
 
-    return arrow_map(docs.select("doc_id", "text"), rows, "doc_id bigint, redacted string")
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text", _digest().alias("h")).join(findings(docs, names), "h", "left")
+    return arrow_map(rows.select("doc_id", "text", "spans"), run, "doc_id bigint, text string, redacted string")

@@ -25,6 +25,19 @@ def test_validators():
     assert I.mod97("2550814168025", "38") and not I.mod97("2550814168025", "39")
     assert I.cpf_valid("52998224725") and not I.cpf_valid("52998224724")
     assert I.dni_valid("12345678", "Z") and not I.dni_valid("12345678", "A")
+    assert I.nie_valid("X", "1234567", "L") and not I.nie_valid("X", "1234567", "A")
+    assert I.ssn_valid("123456789") and not I.ssn_valid("000456789") and not I.ssn_valid("123006789")
+    assert I.snils_valid("11223344595") and not I.snils_valid("11223344596")
+    assert I.inn_valid("500100732259") and not I.inn_valid("500100732258")
+    assert I.steuer_valid("86095742719") and not I.steuer_valid("86095742718")
+
+
+def test_checks_move_scores():
+    kinds = lambda t: {k for _, _, k in I.spans(t)}
+    for sound, wrong in (("see 123-45-6789 now", "see 000-00-0000 now"), ("see 529.982.247-25 now", "see 111.222.333-44 now"), ("see 12345678-Z now", "see 12345678-A now"), ("see 2 55 08 14 168 025 38 now", "see 2 55 08 14 168 025 39 now"), ("see 112-233-445 95 now", "see 112-233-445 96 now")):
+        assert kinds(sound) == {"id_number"} and "id_number" not in kinds(wrong), (sound, wrong)
+    assert I.checked("046 454 286", "SIN") > 0 > I.checked("046 454 287", "SIN")
+    assert I.checked("52998224725", "CPF") > 0 > I.checked("11122233344", "cpf") and I.checked("AB1", "passport") == 0
 
 
 def test_placeholders_keep_the_rest():
@@ -46,8 +59,21 @@ def test_tables(spark):
     assert I.found(docs.limit(0), names).count() == 0
 
 
-def test_every_listed_name_counts(spark, monkeypatch):
-    monkeypatch.setattr(I, "MAX_GIVEN", 1)
+def test_every_listed_name_counts(spark):
     docs = spark.createDataFrame([(1, "Alice Quilby came.", None, None), (2, "Zelda Quilby came.", None, None)], DOCS)
     names = spark.createDataFrame([("Alice", "en"), ("Zelda", "en")], "given_name string, lang string")
     assert {r.doc_id for r in I.found(docs, names).collect()} == {1, 2}
+
+
+def test_common_words_are_told_by_ratio(spark):
+    names = spark.createDataFrame([("Alice", "en")], "given_name string, lang string")
+    for times in (1, 50):
+        rows = [(i, "Mr Baker came. Mr Press came.", None, None) for i in range(40 * times)] + [(9000 + i, "the baker and the press", None, None) for i in range(2 * times)] + [(19000 + i, "a press stands", None, None) for i in range(20 * times)]
+        red = {r.redacted for r in I.redact(spark.createDataFrame(rows, DOCS), names).where("doc_id < 9000").collect()}
+        assert red == {"Mr <NAME> came. Mr Press came."}, times
+
+
+def test_redact_keeps_every_row(spark):
+    names = spark.createDataFrame([], "given_name string, lang string")
+    rows = I.redact(spark.createDataFrame([(1, None, None, None), (2, "", None, None), (None, "a@b.test", None, None)], DOCS), names).collect()
+    assert {(r.doc_id, r.text, r.redacted) for r in rows} == {(1, None, None), (2, "", ""), (None, "a@b.test", "<EMAIL>")}
