@@ -1,11 +1,11 @@
 """Problem 1: broken prompt and response pairs.
 
-A pushdown parser follows fences, brackets, quotations, lists and markup of the answer to its end and tells whether
-anything is left open; greedy string tiling measures how much of the answer is taken from the question; script checks and
+A pushdown parser follows fences, brackets, quotations, lists and markup of the answer on one stack to its end and tells
+whether anything is left open; greedy string tiling measures how much of the answer is taken from the question; script checks and
 word statistics tell its language; a grammar of refusals tells whether it declines to answer.
 
 Defined results: a pair whose answer is NULL is ``empty``; a pair without a question can't be ``copy`` or ``language``; a
-redelivered pair gives one row; rows without ``pair_id`` are left out; other columns are ignored.
+redelivered pair gives one row, of its last delivery; rows without ``pair_id`` are left out; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from quire.llm.common import arrow_map, canon_language
 
 DEFECTS = ("empty", "refusal", "copy", "language", "truncated")
-#: The language model keeps this many of the most frequent words of all pairs; it bounds what is broadcast.
-MODEL_WORDS = 40_000
+#: The language model is fitted on this many labelled pairs at most, chosen by hash.
+MODEL_ROWS = 40_000
 
 _WORD = re.compile(r"[\p{L}\p{M}\p{N}]+(?:['’_-][\p{L}\p{M}\p{N}]+)*")
 _LETTERS = re.compile(r"[\p{L}\p{M}]+")
@@ -30,32 +30,62 @@ _LABEL = r"(?:answer|solution|response|reply|output|result|technical notes(?: an
 _LEAD = re.compile(rf"^\s*(?:[*_#>\s\"“«]*(?i:{_LABEL})[*_\s]*[::.][*_\s]*)+")
 _PLACEHOLDER = re.compile(r"(?i)^[\W_]*(?:n\s*/\s*a|none|null|nil|nan|undefined|empty|tb[dac]|todo|fixme|xxx+|placeholder|lorem ipsum|(?:no|keine|aucune|sin|sem|нет) (?:answer|response|output|antwort|réponse|respuesta|resposta|ответа?)|(?:answer|response|text|insert|your answer) (?:here|goes here|missing|pending|to follow))[\W_]*$")
 
-# --- refusals: a sentence about oneself, an inability or unwillingness, and an act of answering ------------------------
-_REFUSALS = tuple(
-    re.compile(p, re.IGNORECASE)
-    for p in (
-        # English
-        r"\b(?:i|we)(?:['’]m| am| are| was)?\s+(?:(?:really|very|so|truly|afraid|sorry|but|unfortunately)[, ]*)*(?:(?:can|could|will|would|may|must|should|do|am|are)(?:\s*not|n['’]?t)|cannot|can['’]t|won['’]t|don['’]t|unable to|not able to|not allowed|not permitted|not comfortable|decline|refuse|must (?:decline|refuse)|prefer not|would rather not|have to (?:decline|refuse))\b",
-        r"\b(?:as|being|i am|i['’]m)\s+(?:an?|just an?|only an?)\s+(?:ai|artificial|large |language model|assistant|chatbot|machine)",
-        r"\bmy (?:guidelines|policy|policies|instructions|rules|programming|training)\b.{0,40}\b(?:not|n['’]t|prohibit|forbid|prevent)",
-        r"\b(?:that|this|it)(?:['’]s| is)\s+(?:not something|nothing|outside|beyond)\b.{0,60}\b(?:i|me|my)\b",
-        r"\b(?:no|not) (?:comment|answer|enough (?:information|context|detail)|something i)\b",
-        r"\b(?:against|violates?) (?:my|our|the) (?:guidelines|polic\w+|rules|terms)",
-        # German
-        r"\b(?:ich|wir)\b.{0,50}\b(?:nicht|kein\w*|leider|ablehnen|verweiger\w*)\b",
-        r"\b(?:kann|darf|möchte|werde|will)\s+(?:ich|wir)\b.{0,50}\b(?:nicht|kein\w*|leider)\b",
-        r"\bals (?:ki|sprachmodell|assistent\w*|künstliche)\b",
-        r"\bes tut mir leid\b|\bleider (?:kann|darf|ist es mir)\b|\bbitte um verständnis\b",
-        # French
-        r"\bje (?:suis désolée?|regrette|refuse|préfère ne|n['’]ai pas|ne (?:peux|puis|souhaite|veux|dispose|suis|saurais))\b|\bdésolée?\b.{0,40}\bje\b|\bil m['’]est impossible\b|\ben tant qu['’](?:ia|assistante?|intelligence|un modèle)\b|\ben tant que modèle\b|\bmalheureusement,? je\b",
-        # Spanish
-        r"\b(?:lo siento|lamento|me temo|desafortunadamente|lamentablemente)\b.{0,50}\b(?:no|imposible)\b|\bno (?:me es posible|puedo|podemos|tengo permitido|estoy (?:autorizad|capacitad)|se me permite|quiero|deseo|dispongo)\b|\bcomo (?:modelo|asistente|ia|inteligencia)\b|\bprefiero no\b|\bme niego\b",
-        # Portuguese
-        r"\b(?:desculpe|lamento|infelizmente|sinto muito)\b.{0,60}\b(?:não|impossível)\b|\bnão (?:posso|podemos|consigo|tenho permissão|me é possível|estou autorizad|quero|desejo)\b|\bcomo (?:assistente|modelo|ia|inteligência)\b|\bprefiro não\b|\brecuso",
-        # Russian
-        r"\bя\b.{0,30}\b(?:не могу|не буду|не вправе|не хочу|отказыва\w+|не имею)\b|\b(?:извините|простите|к сожалению|сожалею)\b.{0,60}\bне\b|\bкак (?:ии|языковая модель|ассистент|искусственн\w+)\b|\bне могу\b.{0,30}\b(?:помочь|ответить)\b",
-    )
-)
+# --- refusals: one that speaks, an inability or unwillingness, and an act of answering --------------------------------
+#: For each language, who speaks, what denies, and the acts that are denied; further ways to decline.
+_SPEAKS, _DENIES, _ACTS, _OTHERWISE = range(4)
+_GRAMMAR = {
+    "en": (
+        r"\b(?:i|we)\b",
+        r"(?:\b(?:can|could|will|would|may|must|should)\s*(?:not|n['’]t)\b|\bcannot\b|\b(?:can|won|wouldn|couldn|shouldn)['’]?t\b|\b(?:unable|not able|not allowed|not permitted|not authori[sz]ed|not comfortable|not going|not willing|not in a position)\b|\b(?:do not|don['’]t) (?:feel comfortable|want|wish|intend|think i (?:can|should)|have (?:enough|sufficient|any|the|access))|\b(?:decline|refuse|prefer not|rather not)\b)",
+        r"\b(?:help|assist\w*|answer\w*|respond|reply|provid\w+|shar(?:e|ing)|expla\w+|discuss\w*|solv\w+|comment\w*|continu\w+|comply|complet\w+|offer\w*|giv\w+|tell|say|advi[sc]\w+|write|do (?:that|this|so)|fulfil\w*|engag\w+|support|information|requests?|questions?|context|details?)\b",
+        (r"\bmy (?:guidelines|policy|policies|instructions|rules|programming|training)\b.{0,40}\b(?:not|n['’]t|prohibit|forbid|prevent)", r"\b(?:that|this|it)(?:['’]s| is)\s+(?:not something|nothing|outside|beyond)\b.{0,60}\b(?:i|me|my)\b", r"\bno comment\b", r"\b(?:against|violates?) (?:my|our|the) (?:guidelines|polic\w+|rules|terms)"),
+    ),
+    "de": (
+        r"\b(?:ich|wir|mir|uns)\b",
+        r"(?:\b(?:kann|können|darf|dürfen|möchte|werde|will|könnte|ist)\b.*\b(?:nicht|nichts|kein\w*|unmöglich)\b|\b(?:nicht|nichts|kein\w*)\b.*\b(?:kann|darf|möchte|werde|will)\b|\b(?:muss|muß)\b.*\bablehnen\b|\blehne\b.*\bab\b|\bverweiger\w*|\baußerstande\b|\bnicht (?:in der lage|befugt|berechtigt)\b)",
+        r"(?:helf\w*|antwort\w*|auskunft|auskünfte|sagen|geben|weiter\w*|unterstütz\w*|erklär\w*|mitteil\w*|information\w*|\bfragen?\b|ablehnen|äußern|nennen|behilflich|fortfahren|fortsetzen|kommentier\w*|lösen|bearbeit\w*|erfüll\w*)",
+        (),
+    ),
+    "fr": (
+        r"\b(?:je|j['’]|nous|m['’])",
+        r"(?:\bne (?:peux|puis|pouvons|pourrai|saurais|souhaite|veux|dois|dispose)\b|\bne suis pas (?:en mesure|autorisée?|capable|habilitée?)|\bn['’]ai pas\b|\brefuse\b|\bpréfère ne\b|\bimpossible\b)",
+        r"\b(?:répon\w+|aid\w+|fourni\w*|expliqu\w+|donner|dire|partag\w+|discut\w+|continu\w+|poursuiv\w+|informations?|questions?|demandes?|comment\w+|résoudre|traiter|le droit|la permission|assister|faire)\b",
+        (),
+    ),
+    "es": (
+        r"",
+        r"(?:\bno (?:me es posible|(?:le |te |les )?(?:puedo|podemos|podré)|tengo (?:permitido|permiso|suficiente)|estoy (?:autorizad\w|capacitad\w|en condiciones)|se me permite|quiero|deseo|dispongo|debo)\b|\bprefiero no\b|\bme niego\b|\blamento no\b|\bme es imposible\b)",
+        r"\b(?:ayud\w+|respond\w+|contest\w+|proporcion\w+|dar\w*|ofrec\w+|explic\w+|compart\w+|decir\w*|habl\w+|continu\w+|informaci\w+|preguntas?|solicitud|resolv\w+|coment\w+|atender\w*|hacer\w*)\b",
+        (),
+    ),
+    "pt": (
+        r"",
+        r"(?:\bnão (?:me é possível|(?:lhe |te )?(?:posso|podemos|poderei|consigo)|tenho (?:permissão|autorização|informa\w+)|estou (?:autorizad\w|em condições)|quero|desejo|disponho|devo)\b|\bprefiro não\b|\b(?:me )?recuso\b|\blamento não\b)",
+        r"\b(?:ajud\w+|respond\w+|fornec\w+|dar|oferec\w+|explic\w+|compart\w+|dizer|falar|continu\w+|informaç\w+|perguntas?|pedidos?|resolv\w+|coment\w+|atender|fazer)\b",
+        (),
+    ),
+    "ru": (
+        r"",
+        r"(?:\bне (?:могу|можем|буду|вправе|хочу|имею|уполномочен\w*|в состоянии|стану)\b|\bотказыва\w+|\bвынужден\w* отказ\w+)",
+        r"\b(?:помо\w+|ответ\w*|отвеч\w+|предостав\w+|объясн\w+|сказать|обсу\w+|подел\w+|продолж\w+|информац\w+|вопрос\w*|коммент\w+|дать|решать|решить|права)\b",
+        (),
+    ),
+}
+
+
+def _refusal(speaks: str, denies: str, acts: str, otherwise: tuple[str, ...]) -> list[re.Pattern]:
+    who = f"(?=.*{speaks})" if speaks else ""
+    said = rf"^{who}(?=.*{denies})(?:.*{acts}|.*{denies}\W*$)"
+    return [re.compile(p, re.IGNORECASE | re.DOTALL) for p in (said, *otherwise)]
+
+
+_REFUSALS = [r for g in _GRAMMAR.values() for r in _refusal(*g)]
+
+
+def declines(sentence: str) -> bool:
+    return any(r.search(sentence) for r in _REFUSALS)
+
+
 _COURTESY = re.compile(
     r"(?i)\b(?:thank you|thanks|feel free|anything else|please (?:consult|ask|contact|try|rephrase)|let me know|happy to|understanding|consult a professional|another (?:question|chapter|topic)|can i help|vielen dank|danke|bitte wenden|verständnis|sonst noch|gerne|merci|n['’]hésitez|autre question|consultez|gracias|consulte|otra pregunta|obrigad[oa]|outra pergunta|compreensão|спасибо|обратитесь|другой вопрос)\b|^[\W_]*(?:i['’]?m |i am )?(?:so |very |really |deeply )?(?:sorry|apologi\w+|unfortunately|leider|desolée?|désolée?|lo siento|desculpe|lamento|извините)[\W_]*$"
 )
@@ -71,7 +101,7 @@ def is_refusal(answer: str) -> bool:
     for s in (x.strip() for x in _SENTENCE.split(bare)):
         if not _LETTERS.search(s):
             continue
-        if any(r.search(s) for r in _REFUSALS):
+        if declines(s):
             declined = True
         elif not _COURTESY.search(s):
             return False
@@ -87,8 +117,9 @@ def is_empty(answer: str | None) -> bool:
 
 
 # --- copies: greedy string tiling ------------------------------------------------------------------------------------
-def tiled(a: list[str], b: list[str], least: int = 2) -> int:
-    """How many words of ``a`` are covered by tiles of at least ``least`` words that ``b`` has too; longest tiles first."""
+def tiled(a: list[str], b: list[str], least: int = 2, enough: float = math.inf) -> int:
+    """How many words of ``a`` are covered by tiles of at least ``least`` words that ``b`` has too; longest tiles first. Ends
+    once ``enough`` are covered."""
     free_a, free_b, total = [True] * len(a), [True] * len(b), 0
     where: dict[str, list[int]] = {}
     for j, w in enumerate(b):
@@ -96,7 +127,7 @@ def tiled(a: list[str], b: list[str], least: int = 2) -> int:
     search = _longest_dense if sum(len(where.get(w, ())) for w in a) > _DENSE else _longest
     while True:
         longest, best = search(a, b, where, free_a, free_b, least)
-        if not best:
+        if not best or total >= enough:
             return total
         for i, j in best:
             if all(free_a[i : i + longest]) and all(free_b[j : j + longest]):
@@ -165,7 +196,7 @@ def is_copy(answer: str, sources: list[list[str]]) -> bool:
             if not src or sum(w not in have for w in own) > most:
                 continue  # no tile covers a word that the source doesn't have
             again = src * -(-len(own) // len(src))  # it may be given more than once
-            rest = len(own) - tiled(own, again, 1 if len(own) < 4 else 2)
+            rest = len(own) - tiled(own, again, 1 if len(own) < 4 else 2, len(own) - most)
             if rest <= most and len(own) > 1:
                 return True
     return False
@@ -297,45 +328,113 @@ _CLOSERS = {")": "(", "]": "[", "}": "{", "”": "“", "»": "«", "’": "‘"
 _END = re.compile(r"[.!?…。!?۔][\"”’'»«“)\]*_}>]*$")
 
 
+#: Elements of markup that are closed by a tag of their own.
+_ELEMENTS = frozenset("div span ul ol table thead tbody strong em code pre blockquote section article figure details sub sup h1 h2 h3 h4 h5 h6".split())
+_MARKS = re.compile(r"</?(?P<tag>[a-zA-Z][a-zA-Z0-9]*)(?:\s[^<>]*)?(?P<empty>/?)>|(?P<ticks>`+)|\*\*|[()\[\]{}“”«»„‘’\"]")
+
+
+class Nesting:
+    """A pushdown parser of an answer. The stack holds (sort, mark) of what is open: fences with their length, brackets,
+    quotations, code within a line, bold text, elements of markup, and items of lists."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, str]] = []
+
+    def open(self, sort: str, mark: str) -> None:
+        self.stack.append((sort, mark))
+
+    def has(self, sort: str, mark: str | None = None) -> bool:
+        return any(s == sort and mark in (None, m) for s, m in self.stack)
+
+    def close(self, sort: str, mark: str) -> None:
+        """Close the innermost of its sort with everything opened within it."""
+        at = max(i for i, x in enumerate(self.stack) if x == (sort, mark))
+        del self.stack[at:]
+
+    def toggle(self, sort: str, mark: str) -> None:
+        self.close(sort, mark) if self.has(sort, mark) else self.open(sort, mark)
+
+    def read(self, answer: str) -> Nesting:
+        before = ""
+        for line in answer.split("\n"):
+            fence = _FENCE.match(line)
+            top = self.stack[-1] if self.stack and self.stack[-1][0] == "fence" else None
+            if top:
+                # a fence closes by a line of its own mark, as long as itself at least, with nothing behind it
+                if fence and fence[1][0] == top[1][0] and len(fence[1]) >= len(top[1]) and not line.strip().strip(top[1][0]):
+                    self.stack.pop()
+            elif fence:
+                self.open("fence", fence[1])
+            elif not line.strip():
+                self._paragraph(before)
+            else:
+                self._line(line)
+            before = line if line.strip() else before
+        return self
+
+    def _paragraph(self, last: str) -> None:
+        # what a paragraph left open that came to its end isn't missed; one that breaks off takes it along
+        whole = bool(_END.search(last.rstrip())) or last.rstrip()[-1:] in (":", "`", "*", ">", "|")
+        self.stack = [x for x in self.stack if x[0] == "element" or x[0] in ("bracket", "quote") and not whole and x[1] in "([{“«"]
+
+    def _line(self, line: str) -> None:
+        body = line
+        if item := _ITEM.match(line):
+            body = item["body"] or ""
+            while self.has("item"):
+                self.close("item", next(m for s, m in reversed(self.stack) if s == "item"))
+            self.open("item", body.strip())
+        for m in _MARKS.finditer(body):
+            self._mark(m, body)
+
+    def _mark(self, m: re.Match, body: str) -> None:
+        c, i = m[0], m.start()
+        if m["ticks"]:
+            self.toggle("code", c)
+        elif self.has("code"):
+            return
+        elif m["tag"]:
+            tag = m["tag"].lower()
+            if tag in _ELEMENTS and not m["empty"]:
+                if c[1] != "/":
+                    self.open("element", tag)
+                elif self.has("element", tag):
+                    self.close("element", tag)
+        elif c == "**":
+            self.toggle("bold", c)
+        elif c in "([{":
+            self.open("bracket", c)
+        elif c in "“«„":
+            low = "“" if c == "„" else c
+            if c == "“" and self.stack and self.stack[-1] == ("quote", "“"):
+                self.stack.pop()  # it closes what a low mark opened
+            else:
+                self.open("quote", low)
+        elif c == '"':
+            if self.has("quote", c):
+                self.close("quote", c)
+            elif (i == 0 or not body[i - 1].isalnum()) and body[i + 1 : i + 2].strip():
+                self.open("quote", c)  # not the sign of inches
+        elif c == "‘":
+            if i == 0 or not body[i - 1].isalnum():
+                self.open("apostrophe", c)
+        elif c == "’":
+            if self.stack and self.stack[-1] == ("apostrophe", "‘"):
+                self.stack.pop()
+        else:
+            sort = "quote" if c in "”»" else "bracket"
+            if self.has(sort, _CLOSERS[c]):
+                self.close(sort, _CLOSERS[c])
+
+
 def left_open(answer: str) -> str | None:
-    """What the parser still has on its stack at the end: ``fence``, ``bracket``, ``quote``, ``markup``; None if nothing."""
-    fence, stack, ticks, bold = "", [], 0, 0
-    for line in answer.split("\n"):
-        if m := _FENCE.match(line):
-            mark = m[1][:3]
-            fence = "" if fence == mark else fence or mark
-            continue
-        if fence:
-            continue
-        if not line.strip():
-            stack.clear()  # brackets and quotations don't outlast a paragraph
-            ticks = bold = 0
-            continue
-        item = _ITEM.match(line)
-        body = (item["body"] or "") if item else line
-        ticks += body.count("`")
-        bold += body.count("**")
-        for i, c in enumerate(body):
-            if c in "([{“«„":
-                stack.append("“" if c == "„" else c)
-            elif c == "‘" and (i == 0 or not body[i - 1].isalnum()):
-                stack.append(c)
-            elif c in _CLOSERS and stack:
-                want = _CLOSERS[c]
-                if stack[-1] == want:
-                    stack.pop()
-                elif c == "“" or want in stack and c != "’":
-                    while stack and stack.pop() != want:
-                        pass
-            elif c == "“" and stack and stack[-1] == "“":
-                stack.pop()
-    if fence:
-        return "fence"
-    if any(c in "([{" for c in stack):
-        return "bracket"
-    if any(c in "“«" for c in stack):
-        return "quote"
-    return "markup" if ticks % 2 or bold % 2 else None
+    """What the parser still has on its stack at the end: ``fence``, ``bracket``, ``quote``, ``markup``, or ``item`` for a
+    list that ends with a mark and nothing after it; None if nothing."""
+    stack = Nesting().read(answer).stack
+    for sort, found in (("fence", "fence"), ("bracket", "bracket"), ("quote", "quote"), ("code", "markup"), ("bold", "markup"), ("element", "markup")):
+        if any(s == sort for s, _ in stack):
+            return found
+    return "item" if any(s == "item" and not re.search(r"[\p{L}\p{N}]", m) for s, m in stack) else None
 
 
 _CUT = re.compile(r"(?:…|\.\.\.|[\[(](?:…|\.\.\.|cut|truncated|continued|to be continued|gekürzt|suite|sigue|continua)[\])])$", re.IGNORECASE)
@@ -399,7 +498,7 @@ def turn(role: str) -> Column:
 
 
 def flat(pairs: DataFrame) -> DataFrame:
-    """(pair_id, question, given, answer, label), wherever a pair stores them."""
+    """(pair_id, question, given, answer, label, at), wherever a pair stores them."""
     blank = lambda c: F.when(F.trim(F.col(c)) != "", F.col(c))
     return pairs.where(F.col("pair_id").isNotNull()).select(
         "pair_id",
@@ -407,6 +506,7 @@ def flat(pairs: DataFrame) -> DataFrame:
         F.when(blank("instruction").isNotNull(), blank("input")).alias("given"),
         F.coalesce(blank("output"), turn("assistant"), "output").alias("answer"),
         canon_language(F.col("language")).alias("label"),
+        (F.col("ingested_at") if "ingested_at" in pairs.columns else F.lit(None)).cast("string").alias("at"),
     )
 
 
@@ -427,8 +527,11 @@ def language_counts(rows: DataFrame) -> DataFrame:
 
 
 def fit_language_model(rows: DataFrame) -> LanguageModel:
-    top = language_counts(rows).orderBy(F.desc("n"), "word", "lang").limit(MODEL_WORDS)
-    return LanguageModel({(r.word, r.lang): r.n for r in top.collect()})
+    """The model of about ``MODEL_ROWS`` of the pairs that name their language, or of all if there are fewer."""
+    labelled = rows.where("label is not null")
+    every = 1 + labelled.count() // MODEL_ROWS
+    some = labelled.where(F.pmod(F.xxhash64("pair_id"), F.lit(every)) == 0)
+    return LanguageModel({(r.word, r.lang): r.n for r in language_counts(some).collect()})
 
 
 def found(pairs: DataFrame) -> DataFrame:
@@ -438,7 +541,8 @@ def found(pairs: DataFrame) -> DataFrame:
 
     def run(cols: dict[str, list]) -> dict[str, list]:
         m = model.value
-        out = [(i, d) for i, q, g, a, lang in zip(*(cols[c] for c in ("pair_id", "question", "given", "answer", "label"))) if (d := classify(a, q, g, lang, m))]
-        return {"pair_id": [o[0] for o in out], "defect": [o[1] for o in out]}
+        out = [classify(a, q, g, lang, m) for q, g, a, lang in zip(*(cols[c] for c in ("question", "given", "answer", "label")))]
+        return {"pair_id": cols["pair_id"], "at": cols["at"], "defect": out}
 
-    return arrow_map(rows, run, "pair_id bigint, defect string").groupBy("pair_id").agg(F.min("defect").alias("defect"))
+    each = arrow_map(rows, run, "pair_id bigint, at string, defect string")
+    return each.groupBy("pair_id").agg(F.max(F.struct("at", "defect")).alias("r")).select("pair_id", F.col("r.defect").alias("defect")).where("defect is not null")

@@ -23,6 +23,23 @@ def test_defects(answer, question, given, defect):
     assert P.classify(answer, question, given, "en", MODEL) == defect
 
 
+def test_refusals_deny_an_act_of_answering():
+    for sound in ("I don't eat meat.", "I am not a doctor.", "Ich esse kein Fleisch.", "Je ne mange pas de viande.", "No como carne.", "Não como carne.", "Я не ем мясо.", "We will not need the second lens."):
+        assert not P.is_refusal(sound), sound
+    for no in ("I must decline to solve this.", "We're not able to share that.", "I refuse.", "Diese Frage darf ich nicht beantworten.", "Je ne suis pas en mesure de répondre.", "Me niego a contestar.", "Não consigo atender a esse pedido.", "Я не могу ответить на этот вопрос.", "That's not something I can discuss."):
+        assert P.is_refusal(no), no
+
+
+def test_nesting():
+    left = P.left_open
+    assert left("````\n```\nx = 1\n```\n````\nDone.") is None and left("````\n```\nx\n```") == "fence" and left("```\nx\n````") is None and left("~~~\n```\n~~~") is None
+    assert left("He said (and this is\n\nthe end.") == "bracket" and left("The interval is [0, 1) here.\n\nThe end.") is None
+    assert left('It is "open here.') == "quote" and left('A 5" lens and "one" more.') is None
+    assert left("<div>The end.") == "markup" and left("<div>The <em>end</em>.</div>") is None and left("a vector<int> b.") is None
+    assert left("Use **bold.") == "markup" and left("Use `x(` here.") is None and left("Use `x.") == "markup"
+    assert left("1. One (two).\n2.") == "item" and left("- a\n- b") is None and left("„So“ und «so».") is None
+
+
 def brute_tiling(a, b, least):
     # longest common unmarked run, again and again
     fa, fb, total = list(a), list(b), 0
@@ -76,4 +93,7 @@ def test_tables(spark):
     rows = [(1, "What is the queue?", None, "The queue is a list.", None, "en", "x", 1), (1, "What is the queue?", None, "The queue is a list.", None, "en", "y", 2), (2, None, None, None, m, None, None, None), (3, None, None, None, None, None, None, None), (None, "q", None, "", None, "en", None, None), (4, "What?", "", "x " * 50_000, [], "EN", None, None)]
     got = {r.pair_id: r.defect for r in P.found(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {2: "empty", 3: "empty", 4: "truncated"}
+    again = [(7, "q", None, "", None, "en", "2024-01-01"), (7, "q", None, "The queue is a list.", None, "en", "2024-02-01"), (8, "q", None, "The queue is a list.", None, "en", "2024-01-01"), (8, "q", None, "The queue is", None, "en", "2024-02-01")]
+    late = spark.createDataFrame(again, "pair_id bigint, instruction string, input string, output string, messages array<struct<role string, content string>>, language string, ingested_at string")
+    assert {r.pair_id: r.defect for r in P.found(late).collect()} == {8: "truncated"}
     assert P.found(spark.createDataFrame([], SCHEMA)).count() == 0
