@@ -2,20 +2,19 @@
 
 Books are related if they share an author, a series or an origin, directly or through other books. Components are found by
 minimum labels with pointer jumping on tables of the cluster; nothing but counters reaches the driver. Splits are assigned
-by grouped iterative stratification: the component with the rarest outstanding label goes first, into the split that needs
-that label most.
+by grouped iterative stratification: the components with the rarest outstanding label go first, into the splits that need
+that label most. Labels have one order over the whole collection. Only counters of labels and the few components that hold a
+noticeable share of everything reach the driver; the others take the places that an order by hash gives them within the
+label that decides about them, so that they are shared out as the splits need it, in any number.
 """
 
 from __future__ import annotations
 
 import random
 import unicodedata
-from collections import Counter
-from collections.abc import Iterator
 
-import pyarrow as pa
 import regex as re
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import arrow_map, canon_language
@@ -105,58 +104,64 @@ def found(books: DataFrame) -> DataFrame:
     return components(memberships(books))
 
 
-#: Components heavier than this share of all weight are placed first, on the driver: there are at most 1/GIANT of them.
+#: Components heavier than this share of all weight are placed one by one; there are at most 1 / GIANT of them.
 GIANT = 1e-3
-#: Components that one task places, one after the other.
-BUCKET = 5_000
-#: Labels that are balanced; rarer ones count together.
-MOST_LABELS = 500
-
-
-def place(items: list[tuple[str, float, dict[str, float]]], ratios: list[float], need: dict[str, list[float]], weight_need: list[float], seed: int) -> dict[str, int]:
-    """Iterative stratification of one list of (id, weight, labels): the split of each id. ``need`` and ``weight_need`` are
-    what the splits still want and are changed in place."""
-    rnd = random.Random(seed)
-    left = Counter()
-    by: dict[str, list[int]] = {}
-    for i, (_, _, labels) in enumerate(items):
-        for k, v in labels.items():
-            left[k] += v
-            by.setdefault(k, []).append(i)
-    todo, out = set(range(len(items))), {}
-    for k in by:
-        by[k].sort(key=lambda i: (-items[i][2][k], items[i][0]))
-
-    def put(i: int, label: str | None) -> None:
-        id_, w, labels = items[i]
-        want = need[label] if label is not None else weight_need
-        s = max(range(len(ratios)), key=lambda j: (round(want[j], 9) if ratios[j] > 0 else -float("inf"), weight_need[j], rnd.random()))
-        out[id_] = s
-        todo.discard(i)
-        weight_need[s] -= w
-        for k, v in labels.items():
-            need[k][s] -= v
-            left[k] -= v
-
-    import heapq
-
-    heap = [(n, k) for k, n in left.items()]
-    heapq.heapify(heap)
-    while heap:
-        n, k = heapq.heappop(heap)
-        if n != left[k]:
-            heapq.heappush(heap, (left[k], k)) if left[k] > 1e-9 else None
-            continue
-        for i in by.pop(k, ()):
-            if i in todo:
-                put(i, k)
-    for i in sorted(todo, key=lambda i: (-items[i][1], items[i][0])):
-        put(i, None)
-    return out
+#: Components of one stretch of the order within a label; bounds what a task sorts, not the result.
+STRETCH = 20_000
+
+
+class Stratification:
+    """Iterative stratification: labels in one order, the rarest first; under each, what every split still needs of it.
+
+    ``giants`` come first in that order: they are placed one by one, under each label the heaviest first, into the split
+    that needs the label most. All other components that a label decides about share what need of it remains: ``cuts`` has
+    the shares of the splits.
+    """
+
+    def __init__(self, ratios: list[float], seed: int, totals: dict[str, float], shared: dict[str, dict[str, float]], giants: list[tuple[str, str, float, dict[str, float]]], order: list[str]):
+        rnd = random.Random(seed)
+        need = {k: [v * q for q in ratios] for k, v in totals.items()}
+        want = [sum(totals.values()) * q for q in ratios]
+        by: dict[str, list] = {}
+        for g in giants:
+            by.setdefault(g[1], []).append(g)
+        self.placed: dict[str, int] = {}
+        self.cuts: dict[str, list[float]] = {}
+
+        def take(s: int, labels: dict[str, float], share: float = 1.0) -> None:
+            for k, v in labels.items():
+                need[k][s] -= share * v
+                want[s] -= share * v
+
+        # what can't be divided goes first, so that the rest can make up for it
+        rest = {k: dict(v) for k, v in shared.items()}
+        for label in order:
+            for group, _, _, labels in sorted(by.get(label, ()), key=lambda g: (-g[2], g[0])):
+                # a split that has all it wants in sum takes no more while another wants some
+                s = max(range(len(ratios)), key=lambda j: (ratios[j] > 0, want[j] > 1e-9, round(need[label][j], 9), want[j], rnd.random()))
+                self.placed[group] = s
+                take(s, labels)
+                for k, v in labels.items():
+                    rest[label][k] -= v
+        for label in order:
+            amount = max(1e-9, sum(rest.get(label, {}).values()))
+            left = [max(0.0, min(x, w)) if q > 0 else 0.0 for x, w, q in zip(need[label], want, ratios)]
+            if sum(left) <= 1e-9:
+                left = [max(0.0, w) if q > 0 else 0.0 for w, q in zip(want, ratios)]
+            cut = [x / sum(left) for x in left] if sum(left) > 1e-9 else list(ratios)
+            # no split gets more than it wants in sum; the others take what is over
+            most = [max(0.0, w) / amount for w in want]
+            over = sum(max(0.0, c - m) for c, m in zip(cut, most))
+            room = [max(0.0, m - c) if q > 0 else 0.0 for c, m, q in zip(cut, most, ratios)]
+            if 1e-12 < over and sum(room) > 0:
+                cut = [min(c, m) + over * r / sum(room) for c, m, r in zip(cut, most, room)]
+            self.cuts[label] = [c / sum(cut) for c in cut]
+            for s, share in enumerate(self.cuts[label]):
+                take(s, rest.get(label, {}), share)
 
 
 def shares(ratios: list[float] | None) -> list[float]:
-    """``ratios`` scaled to sum 1; all to train where nothing valid is given."""
+    """``ratios`` scaled to sum 1; all to train where nothing valid is given. A ratio after the third names no split."""
     r = [max(0.0, x or 0.0) for x in (ratios or [])][:3] + [0.0] * 3
     r = r[:3]
     return [x / sum(r) for x in r] if sum(r) > 0 else [1.0, 0.0, 0.0]
@@ -185,59 +190,51 @@ def assign(books: DataFrame, toc: DataFrame, configs: DataFrame) -> DataFrame:
             F.coalesce("group_id", "book_id").alias("group_id"),
             F.concat(F.lit("genre:"), F.coalesce(canon_genre(F.col("genre")), F.lit("?"))).alias("genre"),
             F.concat(F.lit("language:"), F.coalesce(canon_language(F.col("language")), F.lit("?"))).alias("language"),
+            F.lit(1.0).alias("book"),
             F.greatest(F.coalesce("chapters", F.lit(1)), F.lit(1)).cast("double").alias("chapter"),
             F.greatest(F.size(F.coalesce("authors", F.array())), F.lit(1)).cast("double").alias("author"),
         )
     )
-    labelled = base.select("group_id", F.explode(F.array("genre", "language")).alias("label"), "chapter", "author")
-    top = [r.label for r in labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MOST_LABELS).collect()]
-    vec = labelled.withColumn("label", F.when(F.col("label").isin(top), F.col("label")).otherwise("other")).groupBy("group_id", "label").agg(F.count(F.lit(1)).cast("double").alias("v"))
-    comp = base.groupBy("group_id").agg(F.count(F.lit(1)).cast("double").alias("book"), F.sum("chapter").alias("chapter"), F.sum("author").alias("author"), F.lit(1.0).alias("related"))
-    comp = cut_lineage(comp.join(vec.groupBy("group_id").agg(F.map_from_entries(F.collect_list(F.struct("label", "v"))).alias("labels")), "group_id"))
-    totals = {r.label: r.v for r in vec.groupBy("label").agg(F.sum("v").alias("v")).collect()}
-    units = {k: v for k, v in comp.agg(*[F.sum(k).alias(k) for k in ("book", "chapter", "author", "related")], F.count(F.lit(1)).alias("n")).first().asDict().items()}
-    buckets = max(1, -(-(units["n"] or 0) // BUCKET))
+    units = ("book", "chapter", "author", "related")
+    # what each component holds of each label, in every unit; a component counts once as related
+    vec = base.select("group_id", F.explode(F.array("genre", "language")).alias("label"), *units[:3]).groupBy("group_id", "label").agg(*[F.sum(u).alias(u) for u in units[:3]]).withColumn("related", F.lit(1.0))
+    totals = {r.label: r.asDict() for r in vec.groupBy("label").agg(*[F.sum(u).alias(u) for u in units]).collect()}  # a row for each label
+    rare = spark.createDataFrame([(k, v["book"]) for k, v in totals.items()], "label string, rare double") if totals else None
+    out = "split_id int, by_key string, book_id string, group_id string, split string"
+    if rare is None or not cfg:
+        return spark.createDataFrame([], out)
+    # the rarest label of a component decides about it
+    weights = [F.sum(u).alias(u) for u in units[:3]]
+    comp = base.groupBy("group_id").agg(*weights).withColumn("related", F.lit(1.0))
+    held = vec.join(rare, "label").groupBy("group_id").agg(F.min(F.struct("rare", "label")).alias("r"), F.collect_list(F.struct("label", *units)).alias("held"))
+    comp = cut_lineage(comp.join(held.select("group_id", F.col("r.label").alias("decider"), "held"), "group_id"))
+    shared = comp.select("decider", F.explode("held").alias("h")).groupBy("decider", "h.label").agg(*[F.sum(f"h.{u}").alias(u) for u in units]).collect()  # pairs of labels
+    size = comp.agg(F.count(F.lit(1)).alias("n"), *[F.sum(u).alias(u) for u in units]).first()
+    stretches = 1 + size.n // STRETCH
+    order = sorted(totals, key=lambda k: (totals[k]["book"], k))
 
     parts = None
     for split_id, by, ratios, seed in cfg:
-        unit = by if by in ("book", "chapter", "author", "related") else "book"
-        most = GIANT * (units[unit] or 0.0)
-        heavy = comp.where(F.col(unit) > most) if most >= 1 else comp.where(F.lit(False))
-        giants = [(r.group_id, float(r[unit]), dict(r.labels)) for r in heavy.orderBy(F.desc(unit), "group_id").limit(int(1 / GIANT)).collect()]
-        need = {k: [v * q for q in ratios] for k, v in totals.items()}
-        want = [(units[unit] or 0.0) * q for q in ratios]
-        placed = place(giants, ratios, need, want, seed)
-        rest = {k: sum(max(0.0, x) for x in v) for k, v in need.items()}
-        label_shares = {k: [max(0.0, x) / rest[k] if rest[k] else q for x, q in zip(v, ratios)] for k, v in need.items()}
-        total = sum(max(0.0, x) for x in want)
-        weight_shares = [max(0.0, x) / total if total else q for x, q in zip(want, ratios)]
-
-        def run(batches: Iterator[pa.RecordBatch], ratios=ratios, label_shares=label_shares, weight_shares=weight_shares, seed=seed) -> Iterator[pa.RecordBatch]:
-            schema = pa.schema([("group_id", pa.string()), ("split", pa.string())])
-            held: dict[int, list] = {}
-            for b in batches:
-                for g, w, labels, k in zip(*(b.column(i).to_pylist() for i in range(4))):
-                    held.setdefault(k, []).append((g, w, dict(labels)))
-            for k, items in sorted(held.items()):
-                items.sort()
-                sums: Counter = Counter()
-                for _, _, labels in items:
-                    sums.update(labels)
-                need = {x: [v * q for q in label_shares.get(x, ratios)] for x, v in sums.items()}
-                want = [sum(i[1] for i in items) * q for q in weight_shares]
-                got = place(items, ratios, need, want, seed + k)
-                yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array([SPLITS[s] for s in got.values()], pa.string())], schema=schema)
-
-        light = comp.join(F.broadcast(spark.createDataFrame([(g,) for g in placed], "group_id string")), "group_id", "left_anti") if placed else comp
-        light = light.select("group_id", F.col(unit).alias("w"), "labels", F.pmod(F.xxhash64("group_id", F.lit(seed)), F.lit(buckets)).alias("bucket")).repartition(buckets, "bucket")
-        got = light.mapInArrow(run, "group_id string, split string")
-        if placed:
-            got = got.unionByName(spark.createDataFrame([(g, SPLITS[s]) for g, s in placed.items()], "group_id string, split string"))
-        part = got.select(F.lit(split_id).cast("int").alias("split_id"), F.lit(by).alias("by_key"), "group_id", "split")
+        unit = by if by in units else "book"
+        giants = [(r.group_id, r.decider, float(r[unit]), {h.label: h[unit] for h in r.held}) for r in comp.where(F.col(unit) > GIANT * (size[unit] or 0.0)).collect()]
+        with_: dict[str, dict[str, float]] = {}
+        for r in shared:
+            with_.setdefault(r.decider, {})[r.label] = r[unit]
+        got = Stratification(ratios, seed, {k: v[unit] for k, v in totals.items()}, with_, giants, order)
+        cuts = spark.createDataFrame([(k, c[0], c[0] + c[1]) for k, c in got.cuts.items()], "decider string, a double, b double")
+        # each component's place within its label, by weight, in an order that only a hash of it decides
+        h = F.xxhash64("group_id", F.lit(seed))
+        rows = comp.where(F.col(unit) <= GIANT * (size[unit] or 0.0)).select("group_id", "decider", F.col(unit).alias("w"), h.alias("h"), F.pmod(h, F.lit(stretches)).alias("stretch"))
+        sums = rows.groupBy("decider", "stretch").agg(F.sum("w").alias("sw"))
+        of = Window.partitionBy("decider")
+        sums = sums.select("decider", "stretch", (F.sum("sw").over(of.orderBy("stretch")) - F.col("sw")).alias("before"), F.sum("sw").over(of).alias("all"))
+        up_to = F.sum("w").over(Window.partitionBy("decider", "stretch").orderBy("h", "group_id"))
+        at = rows.join(sums, ["decider", "stretch"]).join(cuts, "decider").withColumn("at", (F.col("before") + up_to - F.col("w") / 2) / F.col("all"))
+        part = at.select("group_id", F.when(F.col("at") < F.col("a"), SPLITS[0]).when(F.col("at") < F.col("b"), SPLITS[1]).otherwise(SPLITS[2]).alias("split"))
+        if got.placed:
+            part = part.unionByName(spark.createDataFrame([(g, SPLITS[s]) for g, s in got.placed.items()], "group_id string, split string"))
+        part = part.select(F.lit(split_id).cast("int").alias("split_id"), F.lit(by).alias("by_key"), "group_id", "split")
         parts = part if parts is None else parts.unionByName(part)
-    out = "split_id int, by_key string, book_id string, group_id string, split string"
-    if parts is None:
-        return spark.createDataFrame([], out)
     return parts.join(base.select("book_id", "group_id"), "group_id").select("split_id", "by_key", "book_id", "group_id", "split")
 
 

@@ -48,6 +48,23 @@ def test_found_edges(spark):
     assert S.found(spark.createDataFrame([], BOOKS)).count() == 0
 
 
+def test_labels_are_shared_out_one_by_one_and_by_place(spark, monkeypatch):
+    rnd = random.Random(9)
+    rows = [book(f"b{i:04d}", genre=rnd.choice(["novel"] * 8 + ["manual"] * 3 + ["atlas"]), language=rnd.choice(["en", "en", "de", "fr"])) for i in range(1800)]
+    books = spark.createDataFrame(rows, BOOKS)
+    genre = {r[0]: r[4] for r in rows}
+    cfg = spark.createDataFrame([(1, "book", [0.7, 0.2, 0.1], 5)], "split_id int, by_key string, ratios array<double>, seed bigint")
+    for giant, stretch in ((1e-6, 20_000), (1e-3, 300), (1e-3, 20_000)):
+        monkeypatch.setattr(S, "GIANT", giant)
+        monkeypatch.setattr(S, "STRETCH", stretch)
+        got = S.assign(books, spark.createDataFrame([], TOC), cfg).collect()
+        assert len(got) == 1800
+        for g in ("novel", "manual", "atlas"):
+            of = [r.split for r in got if genre[r.book_id] == g]
+            for s, want in zip(S.SPLITS, (0.7, 0.2, 0.1)):
+                assert abs(of.count(s) / len(of) - want) < 0.025, (giant, g, s)
+
+
 def test_assignment(spark):
     rnd = random.Random(7)
     rows = [book(f"b{i:04d}", [f"Given{rnd.randrange(900)} Family"], None, None, rnd.choice(["novel", "manual", None]), rnd.choice(["en", "de"])) for i in range(1500)]
