@@ -157,17 +157,33 @@ class Order:
         at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
         return np.where(keys[at] == h, values[at], 0)
 
-    def runs(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct runs of the words ``h``, rarest first, and whether each is heavy."""
+    def runs(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct runs of all ``texts`` (hashes of words), text by text, rarest first; whether each is heavy; and where
+        each text's runs start, with the end of the last."""
+        h, of, at = _starts(texts, self.n)
         logs = self._find(self.words, self.logs, h)
-        k = len(h) - self.n + 1
-        runs = run_hashes(h, self.n)
+        runs = run_hashes(h, self.n)[at] if len(at) else np.empty(0, np.uint64)
         count = self._find(self.known, self.counts, runs)
         # sums in one order only: equal runs have equal scores
-        by = np.lexsort((runs, sum((logs[i : i + k] for i in range(self.n)), np.zeros(k)), count))
-        runs, count = runs[by], count[by]
-        first = np.concatenate(([True], runs[1:] != runs[:-1]))
-        return runs[first], count[first] > self.heavy
+        by = np.lexsort((runs, sum((logs[at + i] for i in range(self.n)), np.zeros(len(at))), count, of))
+        runs, count, of = runs[by], count[by], of[by]
+        first = np.ones(len(runs), bool)
+        first[1:] = (runs[1:] != runs[:-1]) | (of[1:] != of[:-1])
+        ends = np.cumsum(np.bincount(of[first], minlength=len(texts)))
+        return runs[first], count[first] > self.heavy, np.concatenate(([0], ends))
+
+
+def _within(counts: np.ndarray) -> np.ndarray:
+    """0, 1, 2 ... for each of ``counts``, one after the other."""
+    return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _starts(texts: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All words of ``texts``; for each run of ``n`` words the number of its text and the place of its first word."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    many = np.maximum(0, sizes - n + 1)
+    h = np.concatenate(texts) if texts else np.empty(0, np.uint64)
+    return h, np.repeat(np.arange(len(texts)), many), np.repeat(np.cumsum(sizes) - sizes, many) + _within(many)
 
 
 def _sorted_by_hash(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -197,7 +213,8 @@ def order_of(classes: DataFrame, n: int) -> Order:
             if not hashed:
                 continue
             yield rows(0, *np.unique(np.concatenate(hashed), return_counts=True))
-            h, c = np.unique(np.concatenate([run_hashes(w, n) for w in hashed]), return_counts=True)
+            all_, _, at = _starts(hashed, n)
+            h, c = np.unique(run_hashes(all_, n)[at] if len(at) else np.empty(0, np.uint64), return_counts=True)
             total += int(c.sum())
             keys, where = np.unique(np.concatenate((keys, h)), return_inverse=True)
             counts = np.bincount(where, np.concatenate((counts, c))).astype(np.int64)
@@ -217,10 +234,6 @@ def order_of(classes: DataFrame, n: int) -> Order:
 _POSTING = "node bigint, id bigint, size int, skipped int, depth int, rest binary"
 
 
-def _child(node: np.ndarray, run: np.ndarray) -> int:
-    return int(_mix(node * np.uint64(3) + run).astype(np.int64)[0])
-
-
 def _postings(starts: DataFrame, order: Order, bounds: Bounds) -> DataFrame:
     """Rows (node, id, size, skipped, depth, rest): the nodes of the tree one run below each of ``starts`` (id, text, node,
     skipped, depth), and the runs that follow there. Depth 0 is the root."""
@@ -229,30 +242,39 @@ def _postings(starts: DataFrame, order: Order, bounds: Bounds) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, by = _Words(), b.value
         schema = pa.schema([("node", pa.int64()), ("id", pa.int64()), ("size", pa.int32()), ("skipped", pa.int32()), ("depth", pa.int32()), ("rest", pa.binary())])
+
+        def posted(node: np.ndarray, ids: list[int], of: np.ndarray, sizes: np.ndarray, skipped: np.ndarray, depth: np.ndarray, after: np.ndarray, at: np.ndarray, last: np.ndarray, short: np.ndarray) -> pa.RecordBatch:
+            """Postings of texts ``of`` with the runs from ``after`` on that a path carries along."""
+            length = np.maximum(0, last[of] - after)
+            rest = short[np.repeat(at[of] + after, length) + _within(length)]
+            offsets = np.concatenate(([0], np.cumsum(2 * length))).astype(np.int32)
+            binary = pa.Array.from_buffers(pa.binary(), len(of), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(rest.tobytes())])
+            cols = (node.view(np.int64), np.array(ids, np.int64)[of], sizes[of], skipped, depth)
+            return pa.RecordBatch.from_arrays([*[pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(cols, schema)], binary], schema=schema)
+
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [], [])
-
-            def post(node: int, i: int, n: int, skipped: int, depth: int, after: np.ndarray) -> None:
-                for col, v in zip(out, (node, i, n, skipped, depth, after.tobytes())):
-                    col.append(v)
-
-            for i, text, node, gone, depth in zip(*(batch.column(c).to_pylist() for c in range(5))):
-                r, heavy = by.runs(words.hashes(_WORDS(text.lower())))
-                n = len(r)
-                reach = bounds.skips(n) + depth  # the last place that a path can end at
-                keep = min(n, reach + 2 + _EXTRA)
-                r, short = r[:keep], (r[:keep] >> np.uint64(48)).astype(np.uint16)
-                up = np.array([node], np.int64).astype(np.uint64)
-                for k in range(gone + depth, min(reach + 1, keep)):
-                    here = int(r[k].astype(np.int64)) if depth == 0 else _child(up, r[k : k + 1])
-                    if depth or not heavy[k]:
-                        post(here, i, n, k - depth, depth + 1, short[k + 1 : reach + 1 + _EXTRA])
-                        continue
-                    if bounds.fewest(n) < 2:
-                        post(here, i, n, k, 1, short[k + 1 : reach + 1 + _EXTRA])  # it may be all that a pair has in common
-                    for j in range(k + 1, min(reach + 2, keep)):
-                        post(_child(r[k : k + 1], r[j : j + 1]), i, n, j - 1, 2, short[j + 1 : reach + 1 + _EXTRA])
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+            ids, texts, nodes, gone, depths = (batch.column(c).to_pylist() for c in range(5))
+            runs, heavy, at = by.runs([words.hashes(_WORDS(t.lower())) for t in texts])
+            short = (runs >> np.uint64(48)).astype(np.uint16)
+            sizes = np.diff(at)
+            reach = np.array([bounds.skips(int(n)) for n in sizes], np.int64) + np.array(depths, np.int64)  # the last place that a path can end at
+            last = np.minimum(sizes, reach + 1 + _EXTRA)
+            begin = np.array(gone, np.int64) + np.array(depths, np.int64)
+            many = np.maximum(0, np.minimum(reach + 1, sizes) - begin)
+            of, k = np.repeat(np.arange(len(ids)), many), _within(many) + np.repeat(begin, many)
+            run_at, root = runs[at[of] + k], np.array(depths, np.int64)[of] == 0
+            up = np.array(nodes, np.int64).view(np.uint64)[of]
+            here = np.where(root, run_at, _mix(up * np.uint64(3) + run_at))
+            plain = ~(heavy[at[of] + k] & root) | (np.array([bounds.fewest(int(n)) for n in sizes], np.int64)[of] < 2)  # else one run can't be all that a pair has in common
+            depth = np.array(depths, np.int64)[of]
+            yield posted(here[plain], ids, of[plain], sizes, k[plain] - depth[plain], depth[plain] + 1, k[plain] + 1, at, last, short)
+            two = heavy[at[of] + k] & root
+            if two.any():
+                of, k, run_at = of[two], k[two], run_at[two]
+                more = np.maximum(0, np.minimum(reach[of] + 2, sizes[of]) - k - 1)
+                first, j = np.repeat(np.arange(len(of)), more), _within(more) + np.repeat(k + 1, more)
+                of, run_at = of[first], run_at[first]
+                yield posted(_mix(run_at * np.uint64(3) + runs[at[of] + j]), ids, of, sizes, j - 1, np.full(len(of), 2), j + 1, at, last, short)
 
     return starts.select("id", "text", "node", "skipped", "depth").mapInArrow(_quiet(run), _POSTING)
 
@@ -331,6 +353,12 @@ def _walked(postings: DataFrame, bounds: Bounds, last: bool) -> DataFrame:
                         col.append(v)
                 return [m for m in members if bounds.fewest(m[1]) <= m[3]]
 
+            nodes = b.column(0).to_numpy()
+            if len(nodes) > 2:  # a node that only one set is at within the batch pairs nobody
+                same = nodes[1:] == nodes[:-1]
+                keep = np.ones(len(nodes), bool)
+                keep[1:-1] = same[1:] | same[:-1]
+                b = b.filter(pa.array(keep))
             for k, *member in zip(*(b.column(c).to_pylist() for c in range(6))):
                 if k != node:
                     if len(group) > 1 and (res := close(group)) is not None:
