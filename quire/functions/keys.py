@@ -27,12 +27,19 @@ def block_key(sha: Column, page: Column, block: Column) -> Column:
 
 
 def node_key(sha: Column, text: Column, page: Column, box: Column, kind: Column, grid: int = 8) -> Column:
-    """Eight hex digits of a node: its book, the start of its text, its page, its box on a grid and its type, so that small
-    shifts of the box change nothing."""
-    corners = F.array_join(F.transform(box, lambda v: (F.bround(v / grid) * grid).cast("bigint").cast("string")), ",")
-    parts = (book_dir(sha), T.strip(F.substring(text, 1, 80)), page.cast("string"), corners, kind)
+    """``n_`` and eight hex digits of a node: its book, the start of its text, its page, its box on a grid and its type, so
+    that small shifts of the box change nothing."""
+    corners = F.array_join(F.transform(box, lambda v: (F.bround(v / grid) * grid).cast("bigint").cast("string")), ", ")
+    parts = (book_dir(sha), T.strip(F.substring(text, 1, 80)), page.cast("string"), F.concat(F.lit("("), corners, F.lit(")")), kind)
     return F.concat(F.lit("n_"), F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 8))
 
 
-def chunk_key(sha: Column, number: Column, text: Column) -> Column:
-    return F.concat(book_dir(sha), F.format_string("_c%04d_", number), F.substring(F.sha2(text, 256), 1, 6))
+def chunk_key(slug: Column, chapter: Column, section: Column, number: Column, text: Column) -> Column:
+    """The book's slug, two digits of chapter and section, four of the chunk, and six hex digits of its text."""
+    return F.concat(slug, F.format_string("_%02d_%02d_%04d_", chapter, section, number), F.substring(F.sha2(text, 256), 1, 6))
+
+
+def book_slug(title: Column, sha: Column) -> Column:
+    """A readable name of a book: its title and six hex digits, or twelve where the title has no letter or digit."""
+    safe = T.slug(title)
+    return F.when(safe != "", F.concat(safe, F.lit("_"), F.substring(sha, 1, 6))).otherwise(book_dir(sha))

@@ -101,10 +101,39 @@ def spaced_pattern(head: str) -> str:
     return r"(?i)\b" + r"\s+".join(head.split()) + r"\b"
 
 
+#: Entities of markup; what a Western code page shows for the bytes 128 to 159, in order, where it has
+#: something; width forms and plain characters.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&amp;", "&"))
+WESTERN = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+WESTERN_BYTES = "".join(map(chr, (0x80, *range(0x82, 0x8D), 0x8E, *range(0x91, 0x9D), 0x9E, 0x9F)))
+WIDE, PLAIN = "".join(map(chr, range(0xFF01, 0xFF5F))) + "\u3000", "".join(map(chr, range(0x21, 0x7F))) + " "
+CONTROLS = "".join(map(chr, (*range(9), 11, *range(14, 32), 127)))
+
+
+def reread(c: Column) -> Column:
+    """``c`` with its bytes read as UTF-8, where it is made of the characters of a Western code page and its bytes are
+    well-formed UTF-8 beyond ASCII; else ``c``. Texts that are only garbled in part stay."""
+    raw = F.translate(c, WESTERN, WESTERN_BYTES)
+    single = raw.rlike(r"\A[\x00-\xff]*\z") & raw.rlike(r"[\xc2-\xf4][\x80-\xbf]")
+    text = F.encode(F.when(single, raw).otherwise(""), "ISO-8859-1").cast("string")
+    return F.when(single & F.is_valid_utf8(text), text).otherwise(c)
+
+
+def mended(c: Column) -> Column:
+    """Text without entities (unless it holds markup), misread UTF-8, width forms and control characters, and with plain
+    line ends."""
+    plain = c
+    for a, b in ENTITIES:
+        plain = F.replace(plain, F.lit(a), F.lit(b))
+    c = reread(F.when(c.contains("<"), c).otherwise(plain))
+    c = F.regexp_replace(F.translate(c, WIDE, PLAIN), "\r\n?|[\x85\u2028\u2029]", "\n")
+    return F.translate(c, CONTROLS, "")
+
+
 def clean(c: Column) -> Column:
-    """Straight quotes, whole ligatures, plain line ends, spaced headings closed, invisible marks removed, words joined
-    that were divided at a line end."""
-    c = F.translate(F.regexp_replace(c, "\r\n?", "\n"), CURLY, STRAIGHT)
+    """Mended text with straight quotes, whole ligatures, spaced headings closed, invisible marks removed, words joined that
+    were divided at a line end."""
+    c = F.translate(mended(c), CURLY, STRAIGHT)
     for a, b in (*LIGATURES, *TORN):
         c = F.replace(c, F.lit(a), F.lit(b))
     for head, word in SPACED:

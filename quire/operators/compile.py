@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators.ordering import running_count, with_neighbours, with_ordinal
-from quire.session import hub
 
 #: Patterns and words of front matter, indexes and headings that make no question.
 FRONT_MATTER = (
@@ -92,7 +91,7 @@ def pretrain(train: DataFrame, books: DataFrame) -> DataFrame:
         "book_id", "book_title", "grp", F.coalesce("o.title", "book_title").alias("chapter_title"), F.coalesce("o.page", F.lit(1)).alias("page_start"),
         F.when(F.col("o").isNull(), F.greatest(F.lit(1), "last")).otherwise(F.col("last")).alias("page_end"), T.word_count(F.col("text")).alias("word_count"), "text",
     )
-    kept = hub(docs).where("word_count >= 40").where(~((F.col("page_start") < 25) & any_of(F.lower("chapter_title"), OPENING_TITLES)))
+    kept = docs.where("word_count >= 40").where(~((F.col("page_start") < 25) & any_of(F.lower("chapter_title"), OPENING_TITLES)))
     whole = n.groupBy("book_id").agg(in_order(plain).alias("text"), F.first("total_pages").alias("page_end")).join(kept.select("book_id").distinct(), "book_id", "left_anti").join(books, "book_id")
     whole = whole.select("book_id", "book_title", F.lit(0).cast("bigint").alias("grp"), F.col("book_title").alias("chapter_title"), F.lit(1).alias("page_start"), "page_end", T.word_count(F.col("text")).alias("word_count"), "text")
     out = kept.unionByName(whole)
@@ -127,7 +126,7 @@ def sft(train: DataFrame) -> DataFrame:
     items = items.withColumn("_item", T.strip(F.col("_item"))).where(F.col("_item").rlike(r"^\d+\.\s+") & (T.word_count(F.col("_item")) >= 6))
     c = items.select(*cols(2, F.col("_i"), F.lit(ASK_EXERCISE), F.col("_item"), F.concat(F.lit(ANSWER_EXERCISE), F.col("_item")), "exercise"))
     out = a.unionByName(b).unionByName(c).where(T.word_count(F.col("output")) >= 15)
-    out = with_ordinal(out.withColumn("page_idx", F.col("source_page")), "k", "t", "rank", "pos").drop("page_idx")
+    out = with_ordinal(out.withColumn("page_idx", F.col("source_page")), "k", "t", "rank", "pos", write=True).drop("page_idx")
     return out.select("book_id", F.format_string("sft_%04d", F.col("k") + 1).alias("id"), "category", "source_page", "breadcrumbs", "instruction", "input", "output")
 
 
@@ -145,7 +144,7 @@ def code(n: DataFrame) -> DataFrame:
     n = n.where((F.col("node_type") == "code") & T.is_code(F.col("text")))
     at = F.size("own") + 1
     context = F.array_join(F.filter(F.concat(F.slice("near", 1, at - 1), F.slice("near", at + 1, F.lit(1))), lambda x: x != ""), "\n\n")
-    n = with_ordinal(n.select("book_id", "page_idx", "node_ord", txt.alias("code"), context.alias("surrounding_context"), "breadcrumbs"), "k", "node_ord")
+    n = with_ordinal(n.select("book_id", "page_idx", "node_ord", txt.alias("code"), context.alias("surrounding_context"), "breadcrumbs"), "k", "node_ord", write=True)
     return n.select("book_id", F.format_string("code_%04d", F.col("k") + 1).alias("code_id"), (F.col("page_idx") + 1).alias("page"), T.code_language(F.col("code")).alias("language"), "breadcrumbs", "surrounding_context", "code", F.size(T.lines(F.col("code"))).alias("line_count"))
 
 
@@ -176,5 +175,5 @@ def rag(train: DataFrame, most: int = CHUNK_WORDS) -> DataFrame:
     parts = body.repartition("book_id", "sec").sortWithinPartitions("book_id", "sec", "t").mapInArrow(close, "book_id string, sec bigint, t bigint, w int, text string, part int")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("t", "text"))), lambda e: e["text"]), "\n\n")
     chunks = parts.groupBy("book_id", "sec", "part").agg(text.alias("content")).join(heads, ["book_id", "sec"], "left")
-    chunks = with_ordinal(chunks.withColumn("page_idx", F.col("sec")), "k", "part").drop("page_idx")
+    chunks = with_ordinal(chunks.withColumn("page_idx", F.col("sec")), "k", "part", write=True).drop("page_idx")
     return chunks.select("book_id", F.format_string("chunk_%04d", "k").alias("chunk_id"), F.coalesce("hpage", F.lit(1)).alias("page"), F.coalesce("crumbs", F.array().cast("array<string>")).alias("breadcrumbs"), "content")

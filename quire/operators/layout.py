@@ -21,7 +21,6 @@ NOT_A_NAME = r"[^\p{L}\p{N}_]+"
 #: Registers and words of C that tell code.
 REGISTERS = "eax ebx ecx edx esi edi ebp esp rax rbx rcx rdx rsi rdi rbp rsp r8 r9 r10 r11 r12 r13 r14 r15 al bl cl dl ah bh ch dh ax bx cx dx sp bp si di".split()
 C_NAMES = "typedef struct sizeof volatile unsigned #include #define memcpy uint32_t uint64_t dword qword guid".split()
-LIST_MARKS = ("1.", "2.", "3.", "■", "•", "-")
 
 PAGE = ("book_id", "page_idx")
 

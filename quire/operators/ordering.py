@@ -16,9 +16,10 @@ PAGES_A_CHUNK = 64
 ROWS_A_CHUNK = 4096
 
 
-def with_ordinal(df: DataFrame, name: str, *order: str) -> DataFrame:
-    """``df`` with the number of each row in its book, from 0, by page and then by ``order``."""
-    chunked = hub(df).withColumn("_c", F.floor(F.col("page_idx") / PAGES_A_CHUNK))
+def with_ordinal(df: DataFrame, name: str, *order: str, write: bool = False) -> DataFrame:
+    """``df`` with the number of each row in its book, from 0, by page and then by ``order``. ``df`` is read twice; ``write``
+    is for rows that cost more to work out again than to write once."""
+    chunked = (hub(df) if write else df).withColumn("_c", F.floor(F.col("page_idx") / PAGES_A_CHUNK))
     counts = chunked.groupBy("book_id", "_c").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("book_id", "_c", (F.sum("_n").over(Window.partitionBy("book_id").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1))).alias("_b"))
     own = F.row_number().over(Window.partitionBy("book_id", "_c").orderBy("page_idx", *order)) - 1

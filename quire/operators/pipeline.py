@@ -1,4 +1,5 @@
-"""The stages in sequence, each a DataFrame; nothing is computed before a result is asked for."""
+"""The stages in sequence, each a DataFrame. Nodes are written once to the shared folder when they are first asked for; every
+dataset is worked out from there, and nothing else is written before a result is asked for."""
 
 from __future__ import annotations
 
@@ -16,6 +17,7 @@ class Corpus:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.t = lambda name: table(spark, sf_dir, name)
+        self._nodes: DataFrame | None = None
 
     def pages(self) -> DataFrame:
         return layout.pages(self.t("page_data"))
@@ -36,10 +38,12 @@ class Corpus:
         return layout.typed(self.structured())
 
     def nodes(self) -> DataFrame:
-        return hub(graph.nodes(self.typed()))
+        if self._nodes is None:
+            self._nodes = hub(graph.nodes(self.typed()))
+        return self._nodes
 
     def train(self) -> DataFrame:
-        return hub(C.training(self.nodes()))
+        return C.training(self.nodes())
 
     def titles(self) -> DataFrame:
         """The stem of the path is the title."""

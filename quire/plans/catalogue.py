@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quire.functions import keys as K
 from quire.functions import text as T
 from quire.operators import compile as C
-from quire.operators import graph, layout
+from quire.operators import graph, layout, spans
 from quire.operators.pipeline import Corpus
 from quire.plans import control
 from quire.plans import oracles as O
@@ -119,6 +119,8 @@ def _doc_stats(df: DataFrame) -> DataFrame:
 
 _R = "array_to_string(breadcrumbs, ' > ') AS breadcrumbs"
 _LIST = (
+    ("q_span_lines", _table("raw_blocks", lambda t: spans.lines(spans.words_as_spans(t)).drop("font_size")), O.SPAN_LINES),
+    ("q_span_blocks", _table("raw_blocks", lambda t: spans.assemble(spans.words_as_spans(t)).drop("font_size")), O.SPAN_BLOCKS),
     ("q_ingest_blocks", _corpus(lambda k: k.blocks().select("block_uid", "book_id", "page_idx", "blk_ord", "block_id", "txt", "block_type")), O.chain("blk", "SELECT block_uid, book_id, page_idx::BIGINT AS page_idx, blk_ord::BIGINT AS blk_ord, block_id, txt, block_type FROM blk")),
     ("q_born_digital", _corpus(_born_digital), O.chain("pg", _SPAN)),
     ("q_margin_freq", _corpus(lambda k: layout.margin_frequency(k.blocks().join(k.pages(), ["book_id", "page_idx"], "left")).select("book_id", "txt", "n")), O.chain("freq", "SELECT book_id, txt, n FROM freq")),

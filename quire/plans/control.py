@@ -1,5 +1,5 @@
-"""Queries on the event log and on work that is planned, running or done. One text serves both SQL engines, except for the
-view of events that each engine reads from its own JSON functions."""
+"""Queries on the event log and on work that is planned, running or done, as SQL. Where ``views`` has operators for one, they
+are the query and the text here is what their result is compared with; the others run as one text on both SQL engines."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.plans import views
 from quire.sources.tables import table
 
 _STATE = "CASE event_type WHEN 'purchase' THEN 'done' WHEN 'click' THEN 'running' WHEN 'view' THEN 'pending' WHEN 'signup' THEN 'skipped' ELSE 'failed' END"
@@ -67,28 +68,18 @@ def _spark(body: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-def ewma(s: SparkSession, d: str) -> DataFrame:
-    """Smoothed cost of each stage over its finished work in order of time: the closed form of the recursion, so that it is
-    one aggregate and no task replays a stage."""
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-
-    table(s, d, "events").createOrReplaceTempView("events")
-    ev = s.sql(SPARK_EVENTS).where("state = 'done' and units > 0")
-    w = Window.partitionBy("stage").orderBy(F.desc("ts"), F.desc("event_id"))
-    x = ev.select("stage", (F.col("ms") / F.col("units")).alias("x"), (F.row_number().over(w) - 1).alias("age"), F.count(F.lit(1)).over(Window.partitionBy("stage")).alias("n"))
-    weight = F.pow(F.lit(1 - ALPHA), F.col("age")) * F.when(F.col("age") == F.col("n") - 1, 1.0).otherwise(ALPHA)
-    return x.groupBy("stage").agg(F.first("n").alias("n"), F.round(F.sum(F.col("x") * weight), 6).alias("ewma"))
-
-
 _EWMA = f"""WITH RECURSIVE ev AS ({DUCK_EVENTS}), s AS (SELECT stage, CAST(ms AS DOUBLE) / units AS x, row_number() OVER (PARTITION BY stage ORDER BY ts, event_id) AS i FROM ev WHERE state = 'done' AND units > 0),
   r AS (SELECT stage, i, x AS e FROM s WHERE i = 1 UNION ALL SELECT s.stage, s.i, {ALPHA} * s.x + {1 - ALPHA} * r.e FROM r JOIN s ON s.stage = r.stage AND s.i = r.i + 1)
   SELECT stage, max(i) AS n, round(arg_max(e, i), 6) AS ewma FROM r GROUP BY stage"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**{n: _spark(b) for n, b in BODIES.items()}, "q_ewma": ewma}
+    from quire.plans.catalogue import longs
+
+    own = {**views.NATIVE, **{n: f for n, f, _ in views.MORE}}
+    return {**{n: _spark(b) for n, b in BODIES.items()}, **{n: (lambda s, d, f=f: longs(f(s, d))) for n, f in own.items()}}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**{n: (f"WITH ev AS ({DUCK_EVENTS}) " if " ev" in b else "") + b.replace("DIV_", "//") for n, b in BODIES.items()}, "q_ewma": _EWMA}
+    out = {n: (f"WITH ev AS ({DUCK_EVENTS}) " if " ev" in b else "") + b.replace("DIV_", "//") for n, b in BODIES.items()}
+    return {**out, "q_ewma": _EWMA, **{n: sql.replace("(EVENTS)", f"({DUCK_EVENTS})") for n, _, sql in views.MORE}}

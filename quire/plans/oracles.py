@@ -35,8 +35,24 @@ def lines(c: str) -> str:
     return f"regexp_split_to_array(regexp_replace({c}, {q('(?:' + T.LINE_END + ')$')}, ''), {q(T.LINE_END)})"
 
 
+def mended(c: str) -> str:
+    plain = c
+    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", chr(160)), ("&amp;", "&")):
+        plain = f"replace({plain}, {q(a)}, {q(b)})"
+    c = f"CASE WHEN contains({c}, '<') THEN {c} ELSE {plain} END"
+    # a text each of whose characters is one byte under code page 1252, read as UTF-8 where that works
+    page = {b: bytes([b]).decode("cp1252", "ignore") for b in range(128, 160)}
+    raw = f"translate(x, {q(''.join(v for v in page.values() if v))}, {q(''.join(chr(b) for b, v in page.items() if v))})"
+    bytes_ = f"list_aggregate(list_transform(string_split(r, ''), lambda h: printf('%02x', unicode(h))), 'string_agg', '')"
+    out = f"(SELECT CASE WHEN regexp_full_match(r, '[\\x{{00}}-\\x{{ff}}]*', 's') AND regexp_matches(r, '[\\x{{c2}}-\\x{{f4}}][\\x{{80}}-\\x{{bf}}]') THEN coalesce(TRY(decode(unhex({bytes_}))), x) ELSE x END FROM (SELECT x, {raw} AS r FROM (SELECT {c} AS x)))"
+    wide = [chr(x) for x in range(0xFF01, 0xFF5F)]
+    out = f"translate({out}, {q(''.join(wide) + chr(0x3000))}, {q(''.join(chr(ord(x) - 0xFEE0) for x in wide) + ' ')})"
+    out = f"regexp_replace({out}, {q(chr(13) + chr(10) + '?|[' + chr(0x85) + chr(0x2028) + chr(0x2029) + ']')}, {q(chr(10))}, 'g')"
+    return f"regexp_replace({out}, '[\\x{{01}}-\\x{{08}}\\x{{0b}}\\x{{0e}}-\\x{{1f}}\\x{{7f}}]', '', 'g')"
+
+
 def clean(c: str) -> str:
-    c = f"translate(regexp_replace({c}, {q(chr(13) + chr(10) + '?')}, {q(chr(10))}, 'g'), {q(T.CURLY)}, {q(T.STRAIGHT)})"
+    c = f"translate({mended(c)}, {q(T.CURLY)}, {q(T.STRAIGHT)})"
     for a, b in (*T.LIGATURES, *T.TORN):
         c = f"replace({c}, {q(a)}, {q(b)})"
     for head, word in T.SPACED:
@@ -164,3 +180,26 @@ def chain(last: str, select: str) -> str:
     steps = list(STEPS)
     used = steps[: steps.index(last) + 1]
     return "WITH RECURSIVE " + ",\n".join(f"{k} AS {'' if k == 'r2' else 'MATERIALIZED '}({STEPS[k]})" for k in used) + f"\n{select}"
+
+
+# --- spans: words of blocks laid out in lines of eight, then lines and blocks of pages --------------------------------
+_SPAN_STEPS = r"""
+w0 AS (SELECT DISTINCT block_uid, book_id, page_idx, bbox, raw_text, coalesce(is_bold, false) AS bold, coalesce(is_mono, false) AS mono FROM raw_blocks WHERE raw_text IS NOT NULL),
+w1 AS (SELECT *, list_filter(regexp_split_to_array(raw_text, '[ \t\n\r]+'), lambda x: x <> '') AS ws FROM w0),
+w2 AS (SELECT *, unnest(ws) AS text, unnest(range(len(ws))) AS i FROM w1),
+w3 AS (SELECT block_uid, book_id, page_idx, i, text, mono, CASE WHEN bold THEN 700 ELSE 400 END AS weight, coalesce(bbox[1], 50.0) + 40.0 * (i % 8) AS x0, coalesce(bbox[2], 50.0) + 12.0 * (i // 8) + 0.5 * (i % 3) AS y0 FROM w2),
+sp AS (SELECT *, x0 + least(39.0, 5.0 * length(text)) AS x1, y0 + 10.0 AS y1, row_number() OVER (PARTITION BY book_id, page_idx ORDER BY round_even(y0 / 3.5, 0), x0, block_uid, i) AS seq FROM w3),
+an AS (SELECT book_id, page_idx, seq, y0 AS anchor, 0 AS line FROM sp WHERE seq = 1
+  UNION ALL SELECT s.book_id, s.page_idx, s.seq, CASE WHEN abs(s.y0 - a.anchor) <= 3.5 THEN a.anchor ELSE s.y0 END, a.line + CASE WHEN abs(s.y0 - a.anchor) <= 3.5 THEN 0 ELSE 1 END
+  FROM an a JOIN sp s ON s.book_id = a.book_id AND s.page_idx = a.page_idx AND s.seq = a.seq + 1),
+ln AS (SELECT sp.*, an.line, lag(text) OVER l AS pt, lag(x1) OVER l AS px, row_number() OVER l AS r FROM sp JOIN an USING (book_id, page_idx, seq) WINDOW l AS (PARTITION BY book_id, page_idx, an.line ORDER BY x0, seq)),
+tx AS (SELECT book_id, page_idx, line, string_agg(CASE WHEN pt IS NULL OR right(pt, 1) IN ('-', '[', '(') OR left(text, 1) IN (']', ')', ',', '.', ';', ':') OR x0 - px <= 2.0 THEN '' ELSE ' ' END || text, '' ORDER BY x0, seq) AS text0,
+  round_even(min(x0), 2) AS x0, round_even(min(y0), 2) AS y0, round_even(max(x1), 2) AS x1, round_even(max(y1), 2) AS y1, avg(weight) >= 600 AS is_bold, sum(CASE WHEN mono THEN length(text) ELSE 0 END) / sum(length(text)) >= 0.5 AS most, bool_or(r = 1 AND mono) AS first_mono FROM ln GROUP BY ALL),
+li AS (SELECT book_id, page_idx, line, t AS text, x0, y0, x1, y1, is_bold, most OR (first_mono AND regexp_matches(t, '^(01:|02:|;|//|mov|push|pop|add|sub|xor|call|ret)')) AS is_mono FROM (SELECT *, {strip} AS t FROM tx) z WHERE t <> ''),
+br AS (SELECT *, CASE WHEN lag(line) OVER p IS NULL OR is_mono <> lag(is_mono) OVER p OR (is_bold AND length(text) < 120 AND right(text, 1) NOT IN ('.', ';', ':')) OR y0 - lag(y1) OVER p > 15.0 OR regexp_matches(text, '^(■|•|-|\*|1\.|2\.|3\.)') THEN 1 ELSE 0 END AS b FROM li WINDOW p AS (PARTITION BY book_id, page_idx ORDER BY line)),
+bk AS (SELECT *, sum(b) OVER (PARTITION BY book_id, page_idx ORDER BY line) - 1 AS blk_ord FROM br),
+bg AS (SELECT book_id, page_idx, blk_ord, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, count(*) AS n, sum(length(text)) AS size, arg_min(text, line) AS head, arg_max(text, line) AS tail, arg_min(is_bold, line) AS is_bold, sum(CASE WHEN is_mono THEN length(text) ELSE 0 END) / sum(length(text)) >= 0.5 AS is_mono FROM bk GROUP BY ALL),
+bt AS (SELECT book_id, page_idx, blk_ord, string_agg(k.text, ' ' ORDER BY line) AS prose, string_agg(repeat(' ', greatest(0, round_even((k.x0 - g.x0) / 6.0, 0))::BIGINT) || k.text, chr(10) ORDER BY line) AS code FROM bk k JOIN bg g USING (book_id, page_idx, blk_ord) GROUP BY ALL)"""
+SPAN_LINES = "WITH RECURSIVE " + _SPAN_STEPS.strip().replace("{strip}", strip("text0")) + " SELECT book_id, page_idx::BIGINT AS page_idx, line::BIGINT AS line, text, x0, y0, x1, y1, is_bold, is_mono FROM li"
+SPAN_BLOCKS = "WITH RECURSIVE " + _SPAN_STEPS.strip().replace("{strip}", strip("text0")) + """ SELECT book_id, page_idx::BIGINT AS page_idx, blk_ord::BIGINT AS blk_ord, x0, y0, x1, y1, CASE WHEN is_mono THEN code ELSE prose END AS raw_text,
+  CASE WHEN is_mono THEN 'code' WHEN is_bold AND n <= 2 AND size < 120 AND right(tail, 1) NOT IN ('.', ';') THEN 'heading' WHEN regexp_matches(head, '^(■|•|-|\\*)') THEN 'list_item' ELSE 'paragraph' END AS block_type, is_bold, is_mono FROM bg JOIN bt USING (book_id, page_idx, blk_ord)"""

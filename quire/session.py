@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,12 +31,17 @@ def build_session(app: str = "quire", master: str | None = None, **conf: str) ->
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a folder of its own only where that is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; a folder of its own only where that is
+    unset and everything runs on this machine."""
     sc = spark.sparkContext
     have = sc._jsc.sc().getCheckpointDir()
     if have.isDefined():
         return have.get()
-    named = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quire-")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
+        named = tempfile.mkdtemp(prefix="quire-")
     sc.setCheckpointDir(named)
     return sc._jsc.sc().getCheckpointDir().get()
 
@@ -45,9 +52,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_scratch: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder for a table that is written once and read more than once."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.add(path)
+    return path
 
 
 def hub(df: DataFrame) -> DataFrame:
@@ -62,3 +74,15 @@ def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    _scratch.discard(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is written under :func:`scratch_path` within, once all results that read it have been stored."""
+    before = set(_scratch)
+    try:
+        yield
+    finally:
+        for path in _scratch - before:
+            drop_path(spark, path)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 from itertools import islice
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,14 +66,42 @@ def smoothed_cost(events: DataFrame) -> DataFrame:
     return events.where("units > 0").groupBy("stage").applyInPandasWithState(step, "stage bigint, n bigint, cost double", "n bigint, cost double", "update", GroupStateTimeout.NoTimeout)
 
 
-def crash_loops(events: DataFrame, least: int = 3, seconds: int = 300) -> DataFrame:
-    """Lanes with at least ``least`` failures in a sliding window of ``seconds``."""
-    return events.withWatermark("ts", "10 minutes").groupBy("lane", F.window("ts", f"{seconds} seconds", "60 seconds")).agg(F.count(F.lit(1)).alias("deaths")).where(F.col("deaths") >= least).select("lane", F.unix_seconds("window.start").alias("since"), "deaths")
+def crash_loops(events: DataFrame, least: int = 3, seconds: int = 300, rest: int = 30) -> DataFrame:
+    """Rows (lane, ts, deaths): each time that ``least`` failures of a lane lie within ``seconds``. The count then starts
+    anew, and failures within ``rest`` seconds don't count. The state of a lane is its last failures, fewer than ``least``.
+
+    ``events`` has (lane, ts, event_id). Events of a batch are taken in order of time; later batches are taken as later.
+    """
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        recent, quiet = state.get if state.exists else ([], 0.0)
+        recent, found = list(recent), []
+        rows = pd.concat(list(batches)).sort_values(["ts", "event_id"])
+        for ts in rows["ts"]:
+            at = ts.timestamp()
+            if at < quiet:
+                continue
+            recent = [t for t in recent if at - t < seconds] + [at]
+            if len(recent) >= least:
+                found.append((key[0], ts, len(recent)))
+                recent, quiet = [], at + rest
+        state.update((recent, quiet))
+        yield pd.DataFrame(found, columns=["lane", "ts", "deaths"])
+
+    return events.groupBy("lane").applyInPandasWithState(step, "lane string, ts timestamp, deaths bigint", "recent array<double>, quiet double", "append", GroupStateTimeout.NoTimeout)
 
 
 def drain(stream: DataFrame, mode: str = "complete") -> DataFrame:
-    """Run ``stream`` over all that has arrived and return its result as a table."""
-    spark, name = stream.sparkSession, f"drained_{uuid.uuid4().hex}"
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", scratch_path(spark, "stream")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name)
+    """Run ``stream`` over all that has arrived and return its result, which is written to the shared folder: whole in
+    ``complete`` mode, batch by batch in the others."""
+    spark, path = stream.sparkSession, scratch_path(stream.sparkSession, "drained")
+
+    def put(df: DataFrame, _: int) -> None:
+        df.write.mode("overwrite" if mode == "complete" else "append").parquet(path)
+
+    stream.writeStream.foreachBatch(put).outputMode(mode).option("checkpointLocation", scratch_path(spark, "stream")).trigger(availableNow=True).start().awaitTermination()
+    try:
+        return spark.read.schema(stream.schema).parquet(path)
+    except AnalysisException:  # nothing has arrived
+        return spark.createDataFrame([], stream.schema)

@@ -20,7 +20,7 @@ def test_core_queries_agree_with_sql(spark):
     for f in os.listdir(DATA):
         con.sql(f"create view {f[:-8]} as select * from '{DATA}/{f}'")
     flat = lambda v: round(float(v), 6) if isinstance(v, float) or type(v).__name__ == "Decimal" else v
-    for name in ("q_furniture", "q_toc_match", "q_typed_content", "q_graph_nodes", "q_code_valid", "q_telemetry_60s", "q_ewma", "q_median20", "q_eta_lanes", "q_crash_loop", "q_stream_rollup"):
+    for name in ("q_furniture", "q_toc_match", "q_typed_content", "q_graph_nodes", "q_code_valid", "q_telemetry_60s", "q_ewma", "q_median20", "q_eta_lanes", "q_crash_loop", "q_stream_rollup", "q_span_lines", "q_span_blocks", "q_edges", "q_plan", "q_stage_costs", "q_eta", "q_running", "q_book_detail", "q_formats", "q_claim_next", "q_error_class_texts", "q_dataset_pick_docs"):
         df = queries()[name](spark, DATA)
         cols = sorted(df.columns)
         got = sorted((repr(tuple(flat(r[c]) for c in cols)) for r in df.collect()))

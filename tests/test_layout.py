@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from quire.operators import graph, layout
 from quire.operators.compile import chatml, code, pretrain, rag, sft, training, with_boilerplate
 from quire.operators.ordering import carry, running_count, with_neighbours, with_ordinal
-from quire.operators.spans import blocks, line_text, lines
+from quire.operators.spans import assemble, lines, placed
 
 RAW = "block_uid bigint, book_id string, page_idx int, blk_ord int, block_id string, bbox array<double>, raw_text string, block_type string, is_bold boolean, is_mono boolean, ingested_at timestamp"
 PAGES = "book_id string, page_idx int, width double, height double, is_scanned boolean, char_count int, ingested_at timestamp"
@@ -124,9 +124,33 @@ def test_empty_tables(spark):
     assert n.count() == 0 and rag(training(n)).count() == 0
 
 
-def test_spans():
-    s = lambda t, x0, x1, y, **k: {"text": t, "x0": x0, "x1": x1, "y0": y, "y1": y + 10, "font_size": 10.0, "weight": 400, "is_mono": False} | k
-    assert line_text([s("defi", 0, 10, 0), s("fi ned", 10, 30, 0), s("word", 40, 60, 0)]) == "defined word"
-    page_ = [s("b", 50, 60, 1.0), s("a", 0, 10, 3.0), s("next", 0, 20, 14.0), s("mov eax", 12, 40, 60.0, is_mono=True)]
-    got = blocks(lines(page_))
-    assert [(b["raw_text"], b["block_type"]) for b in got] == [("a b next", "paragraph"), ("mov eax", "code")]
+SPAN = "book_id string, page_idx int, span_ord int, text string, x0 double, y0 double, x1 double, y1 double, font_size double, weight int, is_mono boolean"
+
+
+def span(i, text, x0, x1, y, size=10.0, weight=400, mono=False, page=0):
+    return ("b", page, i, text, float(x0), float(y), float(x1), float(y) + 10, size, weight, mono)
+
+
+def test_lines_and_blocks_of_spans(spark):
+    rows = [
+        span(0, "defi", 0, 10, 0), span(1, "fi ned", 10, 30, 0), span(2, "word", 40, 60, 0), span(3, ",", 70, 72, 0), span(4, None, 0, 1, 0),
+        span(0, "b", 50, 60, 1.0, page=1), span(1, "a", 0, 10, 3.0, page=1), span(2, "late", 70, 80, 4.2, page=1), span(3, "next", 0, 20, 14.0, page=1), span(4, "mov eax", 12, 40, 60.0, mono=True, page=1), span(5, "ret", 24, 40, 72.0, mono=True, page=1), span(6, " ", 0, 3, 90.0, page=1),
+        span(0, "One Heading", 0, 60, 0, weight=700, page=2), span(1, "Another", 0, 60, 12, weight=700, page=2), span(2, "its text", 0, 60, 24, page=2), span(3, "- mark", 0, 60, 36, page=2), span(4, "far", 0, 60, 80, page=2), span(5, "; code", 0, 60, 92, page=2), span(6, "ab", 0, 10, 104, mono=True, page=2), span(7, "abc", 11, 20, 104, page=2),
+    ]
+    df = spark.createDataFrame(rows, SPAN)
+    got = {}
+    for r in lines(df).orderBy("page_idx", "line").collect():
+        got.setdefault(r.page_idx, []).append(r.text)
+    # 1.0 is not within 3.5 of 4.6, whatever lies between
+    assert got == {0: ["defined word,"], 1: ["a b late", "next", "mov eax", "ret"], 2: ["One Heading", "Another", "its text", "- mark", "far", "; code", "ababc"]}
+    out = [(r.page_idx, r.raw_text, r.block_type) for r in assemble(df).orderBy("page_idx", "blk_ord").collect()]
+    assert out == [(0, "defined word,", "paragraph"), (1, "a b late next", "paragraph"), (1, "mov eax\n  ret", "code"), (2, "One Heading", "heading"), (2, "Another its text", "heading"), (2, "- mark", "list_item"), (2, "far ; code ababc", "paragraph")]
+    assert assemble(df.limit(0)).count() == 0
+
+
+def test_placed(spark):
+    pages = spark.createDataFrame([("b", 0, 100.0, 200.0)], "book_id string, page_idx int, width double, height double")
+    rows = [("b", 0, 0, "x", -3.0, 190.0, 120.0, 205.0, "Fira Code", None, None), ("b", 0, 1, "y", 1.0, 50.0, 9.0, 50.0, None, 9.0, 700), ("b", 0, 2, "", 1.0, 5.0, 9.0, 15.0, None, 9.0, 700)]
+    o = spark.createDataFrame(rows, "book_id string, page_idx int, span_ord int, text string, left double, bottom double, right double, top double, font string, font_size double, weight int")
+    got = [tuple(r) for r in placed(o, pages).orderBy("span_ord").select("x0", "y0", "x1", "y1", "font_size", "weight", "is_mono").collect()]
+    assert got == [(0.0, 0.0, 100.0, 10.0, 10.0, 400, True), (1.0, 150.0, 9.0, 151.0, 9.0, 700, False)]

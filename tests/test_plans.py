@@ -1,3 +1,5 @@
+import hashlib
+import json
 import os
 
 import pytest
@@ -24,6 +26,9 @@ def test_keys(spark):
     key = lambda ins: K.stage_key("s", "1", {"b": 1, "a": 2}, F.array(*[F.lit(i) for i in ins]))
     r = df.select(key("xy").alias("k1"), key("yx").alias("k2"), key("xz").alias("k3"), K.node_key(F.col("sha"), F.col("text"), F.col("page"), F.col("box"), F.lit("code")).alias("n1"), K.node_key(F.col("sha"), F.col("text"), F.col("page"), F.col("near"), F.lit("code")).alias("n2"), K.block_key(F.col("sha"), F.col("page"), F.lit(4)).alias("b")).first()
     assert r.k1 == r.k2 != r.k3 and len(r.k1) == 16 and r.n1 == r.n2 and r.b == "aaaaaaaaaaaa_p0003_b004"
+    assert r.n1 == "n_" + hashlib.sha256(b"aaaaaaaaaaaa|text|3|(8, 16, 96, 48)|code").hexdigest()[:8]
+    c = df.select(K.book_slug(F.lit("A Book: One"), F.col("sha")).alias("s"), K.book_slug(F.lit("…"), F.col("sha")).alias("e"), K.chunk_key(F.lit("slug"), F.lit(1), F.lit(2), F.lit(3), F.lit("x")).alias("c")).first()
+    assert c.s == "a_book_one_aaaaaa" and c.e == "a" * 12 and c.c == "slug_01_02_0003_" + hashlib.sha256(b"x").hexdigest()[:6]
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
@@ -36,3 +41,14 @@ def test_compile_all(spark, tmp_path):
     assert {"messages", "instruction"} <= set(spark.read.json(f"{out}/sft").columns)
     with pytest.raises(Exception, match="exists|EXISTS"):
         compile_all(spark, DATA, out)
+    made = json.loads((tmp_path / "out" / "manifest.json").read_text())
+    assert {k: v["records"] for k, v in made["datasets"].items()} == {k: r.records for k, r in rows.items()} and made["total_books"] > 0
+    summary = spark.read.json(f"{out}/summary")
+    assert summary.count() == made["total_books"] and summary.agg({"rag_chunks": "sum"}).first()[0] == rows["rag"].records
+    by_book = config.load(overrides={"dataset": {"by_book": True}})
+    again = {r.dataset: r.records for r in compile_all(spark, DATA, str(tmp_path / "books"), by_book).collect()}
+    assert again == {k: r.records for k, r in rows.items()}
+    from quire.sources.datasets import catalogue
+
+    of = catalogue(spark, str(tmp_path / "books" / "rag")).collect()
+    assert {r.scope for r in of} == {"book"} and sum(r.records for r in of) == rows["rag"].records

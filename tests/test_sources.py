@@ -45,7 +45,9 @@ def test_streams(spark, tmp_path):
     got = {r.bucket: r.n for r in events.drain(events.rollup(stream(), 60)).collect()}
     assert got == {0: 3, 60: 3, 120: 3, 180: 3}
     lanes = stream().withColumn("lane", F.lit("cpu"))
-    assert events.drain(events.crash_loops(lanes)).agg(F.max("deaths")).first()[0] == 12
+    got = events.drain(events.crash_loops(lanes.select("lane", "ts", "event_id")), "append").orderBy("ts").collect()
+    # the third failure ends a count; failures in the next 30 seconds don't count
+    assert [(int(r.ts.timestamp()), r.deaths) for r in got] == [(40, 3), (120, 3), (200, 3)]
     work = stream().select(F.lit(1).cast("bigint").alias("stage"), "ts", "event_id", F.lit(2).cast("bigint").alias("units"), (F.col("value") * 10).cast("bigint").alias("ms"))
     cost = 0.0
     for i in range(12):
@@ -54,6 +56,30 @@ def test_streams(spark, tmp_path):
     assert r.n == 12 and abs(r.cost - cost) < 1e-9
 
 
+def test_crash_loops_across_clock_windows(spark, tmp_path):
+    df = spark.createDataFrame([(1, 59, "a"), (2, 200, "a"), (3, 358, "a"), (4, 59, "b"), (5, 200, "b"), (6, 359, "b")], "event_id bigint, s bigint, lane string").withColumn("ts", F.timestamp_seconds("s"))
+    df.select("event_id", "ts", "lane").coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = events.event_stream(spark, str(tmp_path / "in"), "event_id BIGINT, ts TIMESTAMP, lane STRING", "*.parquet")
+    assert [(r.lane, int(r.ts.timestamp()), r.deaths) for r in events.drain(events.crash_loops(stream), "append").collect()] == [("a", 358, 3)]
+    from quire.operators.boards import crash_loops
+
+    assert [(r.lane, r.event_id) for r in crash_loops(df.withColumn("epoch_s", F.col("s"))).collect()] == [("a", 3)]
+
+
+def test_documents_and_partial_writes(spark, tmp_path):
+    root = str(tmp_path)
+    datasets.write_document(spark, root + "/a.json", {"b": "ü", "a": 1})
+    datasets.write_document(spark, root + "/a.json", {"b": "ü", "a": 2})
+    assert json.loads((tmp_path / "a.json").read_text(encoding="utf-8")) == {"a": 2, "b": "ü"}
+    (tmp_path / "x.partial").mkdir()
+    (tmp_path / "done").mkdir()
+    (tmp_path / "done" / "_temporary").mkdir()
+    assert datasets.sweep_partials(spark, root) == 2 and (tmp_path / "done").exists() and not (tmp_path / "x.partial").exists()
+    assert datasets.latest_stage(spark, root, "done") is None
+    spark.range(3).write.parquet(root + "/k1")
+    assert datasets.latest_stage(spark, root, "k1") == root + "/k1" and datasets.latest_stage(spark, root, "k0") is None
+
+
 def test_tail_hands_on_every_event(spark, tmp_path):
     df = spark.range(1230).selectExpr("(id * 7) % 1230 AS event_id", "timestamp_seconds(id) AS ts")
     df.repartition(3).write.parquet(str(tmp_path / "in"))

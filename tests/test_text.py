@@ -28,6 +28,15 @@ def test_code_language(spark):
         assert one(spark, text, T.code_language) == lang
 
 
+def test_mending(spark):
+    cases = {
+        "caf\u00c3\u00a9 and \u00e2\u20ac\u0153so\u00e2\u20ac\u009d": "café and “so”", "café and Ã": "café and Ã", "Ã© and мост": "Ã© and мост", "plain": "plain", "": "",
+        "a &amp; b &lt;c&gt;": "a & b <c>", "<b>a &amp; b</b>": "<b>a &amp; b</b>", "Ｗｉｄｅ　１": "Wide 1", "a\x07b\x0bc\x7f": "abc", "a\u2028b\x85c\r\nd\re": "a\nb\nc\nd\ne",
+    }
+    for text, want in cases.items():
+        assert one(spark, text, T.mended) == want, text
+
+
 def test_clean(spark):
     assert one(spark, "C H A P T E R 1 defi ned so­ft hyphen-\nation “q”", T.clean) == 'CHAPTER 1 defined soft hyphenation "q"'
     assert one(spark, "CAMPAÑ-\nas précis-\nion", T.clean).endswith("précis-\nion")
