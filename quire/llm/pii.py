@@ -66,6 +66,8 @@ ADDRESSES = (
     (re.compile(r"(?<!\p{L})\p{Lu}\p{L}+(?:weg|damm|ring|ufer|steig|stieg|pfad|markt|graben|berg|hof|wall|brücke|kai|tor)\s+\d{1,4}(?:\s?[a-z])?(?![\p{L}\d])"), 0.6),
     (re.compile(r"(?<!\p{L})(?:Am|An\s+der|An\s+den|Auf\s+de[rmn]|Im|In\s+de[rmn]|Zum|Zur|Unter\s+den|Hinter\s+de[rmn]|Beim)\s+\p{Lu}\p{L}+(?:\s+\p{Lu}\p{L}+)?\s+\d{1,4}(?:\s?[a-z])?(?![\p{L}\d])"), 0.6),
 )
+#: Without one of these there is no address of the first sort.
+_STREET_HINT = re.compile(rf"\s(?:{_STREETS_EN})(?!\p{{L}})")
 _ADDRESS_CUE = re.compile(r"(?i)\b(?:anschrift|adresse|wohn\w+|address|lives?|visit|wrote from|proofs to|dirección|domicilio|endereço|mora|адрес|écrire|habite|demeure)\b")
 _ADDRESS_AFTER = re.compile(r"\s*,\s*\d{4,6}\s+\p{Lu}|\s*,\s*\p{Lu}\p{L}+(?:\s+\d{5})?\s*(?:[.\n\r]|$)")
 _NOT_ADDRESS = re.compile(r"\s*(?:Stück|Minuten|Prozent|Mal|mal|marks|%|Seiten)\b")
@@ -259,7 +261,7 @@ def _phones(text: str, taken: list, out: list) -> None:
 
 
 def _addresses(text: str, taken: list, out: list) -> None:
-    for shape, score in ADDRESSES:
+    for shape, score in ADDRESSES if _STREET_HINT.search(text) else ADDRESSES[1:]:
         for m in shape.finditer(text):
             if any(m.start() < e and s < m.end() for s, e, _ in taken) or _NOT_ADDRESS.match(text, m.end()):
                 continue
@@ -271,11 +273,23 @@ def _addresses(text: str, taken: list, out: list) -> None:
 _PLAIN = re.compile(r"(?<![\p{L}\d@._+])\p{Ll}{2,}(?![\p{L}\d@_+])")
 
 
+_plain: dict[str, tuple[str, ...]] = {}
+
+
 def plain_words(text: str) -> set[str]:
-    """Words that ``text`` writes in lower case outside mail addresses, in folded form."""
+    """Words that ``text`` writes in lower case outside mail addresses, in folded form. What stands between blanks is looked
+    at once and remembered up to a bound."""
     if EMAIL_HINT.search(text):
         text = EMAIL.sub(" ", text)
-    return {fold(w) for w in set(_PLAIN.findall(text))}
+    out: set[str] = set()
+    if len(_plain) > 300_000:
+        _plain.clear()
+    for part in set(text.split()):
+        got = _plain.get(part)
+        if got is None:
+            got = _plain[part] = tuple({fold(w) for w in _PLAIN.findall(part)})
+        out.update(got)
+    return out
 
 
 _A_TITLE = re.compile(_TITLE + r"\Z")
