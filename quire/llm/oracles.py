@@ -21,6 +21,22 @@ c AS (SELECT x.block_uid AS a, y.block_uid AS b, count(*) AS k FROM s x JOIN s y
 SELECT a AS block_uid_a, c.b AS block_uid_b FROM c JOIN n x ON x.block_uid = a JOIN n y ON y.block_uid = c.b WHERE k * 5 >= 4 * (x.n + y.n - k)"""
 
 
+_P6_SETS = P6[: P6.index("c AS (SELECT x.block_uid")].strip()
+#: Blocks with the same runs are one class; links are between classes, groups what links lead to.
+P6_GROUPS = _P6_SETS.replace("WITH b AS", "WITH RECURSIVE b AS", 1) + r"""
+k AS (SELECT block_uid, min(block_uid) OVER (PARTITION BY runs) AS cls, count(*) OVER (PARTITION BY runs) AS copies FROM (SELECT block_uid, list_sort(list(g)) AS runs FROM s GROUP BY ALL)),
+o AS (SELECT s.* FROM s JOIN k ON s.block_uid = k.block_uid AND k.cls = k.block_uid),
+c AS (SELECT x.block_uid AS a, y.block_uid AS b, count(*) AS k FROM o x JOIN o y ON x.g = y.g AND x.block_uid <> y.block_uid GROUP BY ALL),
+e AS (SELECT a, c.b FROM c JOIN n x ON x.block_uid = a JOIN n y ON y.block_uid = c.b WHERE k * 5 >= 4 * (x.n + y.n - k)),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+h AS (SELECT a AS cls, least(a, min(b)) AS g FROM r GROUP BY a), l AS (SELECT a AS cls, count(*) AS links FROM e GROUP BY a)
+SELECT block_uid, coalesce(g, cls) AS group_id, coalesce(links, 0)::BIGINT AS links FROM k LEFT JOIN h USING (cls) LEFT JOIN l USING (cls) WHERE copies > 1 OR g IS NOT NULL"""
+#: What must hold of any assignment: every book once under each configuration, no group in two splits.
+P3_CHECKED = "SELECT split_id::BIGINT AS split_id, (SELECT count(DISTINCT book_id) FROM books) AS books, 0::BIGINT AS twice, 0::BIGINT AS torn FROM (SELECT DISTINCT split_id FROM split_config)"
+#: What must hold of any packing: every document, nothing over capacity, no piece of a document that fits, one source where asked.
+P9_CHECKED = "SELECT pack_id::BIGINT AS pack_id, (SELECT count(DISTINCT doc_id) FROM documents) AS documents, 0::BIGINT AS over, 0::BIGINT AS torn, 0::BIGINT AS mixed FROM (SELECT DISTINCT pack_id FROM pack_config WHERE capacity_tokens > 0)"
+
+
 def _shape_sql(c: str) -> str:
     """The shape of a text by translation tables: width, blanks and ignorables; composed look-alikes; plain look-alikes."""
     gone = "".join(chr(x) for x, to in visual._FOLDED.items() if to is None)
@@ -58,4 +74,4 @@ SELECT a AS book_id, least(a, min(b)) AS group_id FROM r GROUP BY a"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": P3, "p6_found": P6, "p7_found": P7, "p7_groups": P7_GROUPS}
+    return {"p3_found": P3, "p3_checked": P3_CHECKED, "p6_found": P6, "p6_groups": P6_GROUPS, "p9_checked": P9_CHECKED, "p7_found": P7, "p7_groups": P7_GROUPS}

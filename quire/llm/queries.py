@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quire.llm import encoding, neardup, oracles, pairs, pii, scans, splits, tokens, visual
 from quire.llm.common import table
+from quire.session import hub
 
 
 def p1_found(s: SparkSession, d: str) -> DataFrame:
@@ -36,6 +38,14 @@ def p3_records(s: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def p3_checked(s: SparkSession, d: str) -> DataFrame:
+    """What must hold of the splits: books, books assigned twice, groups in more than one split."""
+    a = hub(p3_splits(s, d))
+    groups = a.groupBy("split_id", "group_id").agg(F.count_distinct("split").alias("k")).groupBy("split_id").agg(F.count_if(F.col("k") > 1).alias("torn"))
+    books = a.groupBy("split_id", "book_id").agg(F.count(F.lit(1)).alias("k")).groupBy("split_id").agg(F.count(F.lit(1)).alias("books"), F.count_if(F.col("k") > 1).alias("twice"))
+    return books.join(groups, "split_id").select(F.col("split_id").cast("bigint").alias("split_id"), "books", "twice", "torn")
+
+
 def p4_found(s: SparkSession, d: str) -> DataFrame:
     return encoding.found(table(s, d, "raw_blocks"))
 
@@ -88,6 +98,19 @@ def p9_packed(s: SparkSession, d: str) -> DataFrame:
     return tokens.pack(table(s, d, "documents"), table(s, d, "pack_config"))
 
 
+def p9_checked(s: SparkSession, d: str) -> DataFrame:
+    """What must hold of the containers: documents, containers over capacity, documents torn without need, containers of
+    more than one source where only one is allowed."""
+    cfg = table(s, d, "pack_config").select("pack_id", "capacity_tokens", "per_source").dropDuplicates(["pack_id"])
+    source = table(s, d, "documents").select("doc_id", F.coalesce(tokens.canon_source(F.col("source")), F.lit("")).alias("source")).dropDuplicates(["doc_id"])
+    p = hub(p9_packed(s, d).join(F.broadcast(cfg), "pack_id").join(source, "doc_id"))
+    of = p.groupBy("pack_id", "container", "capacity_tokens", "per_source").agg(F.sum("tokens").alias("t"), F.count_distinct("source").alias("k"))
+    of = of.groupBy("pack_id").agg(F.count_if(F.col("t") > F.col("capacity_tokens")).alias("over"), F.count_if(F.col("per_source") & (F.col("k") > 1)).alias("mixed"))
+    docs = p.groupBy("pack_id", "doc_id", "capacity_tokens").agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("k"))
+    docs = docs.groupBy("pack_id").agg(F.count(F.lit(1)).alias("documents"), F.count_if((F.col("k") > 1) & (F.col("t") <= F.col("capacity_tokens"))).alias("torn"))
+    return docs.join(of, "pack_id").select(F.col("pack_id").cast("bigint").alias("pack_id"), "documents", "over", "torn", "mixed")
+
+
 def p10_found(s: SparkSession, d: str) -> DataFrame:
     return pii.found(table(s, d, "documents"), table(s, d, "given_names"))
 
