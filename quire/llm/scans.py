@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex as re
 import xxhash
@@ -176,19 +178,18 @@ def tokens(text: str) -> list[str]:
 
 
 _MASK = (1 << 64) - 1
+_FIRST, _SECOND = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
-def pair_hash(a: int, b: int) -> int:
-    return ((a * 0x9E3779B97F4A7C15) ^ (b * 0xC2B2AE3D27D4EB4F) ^ (b >> 7)) & _MASK
-
-
-def _signed(h: int) -> int:
-    return h - (1 << 64) if h >> 63 else h
+def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a * np.uint64(_FIRST)) ^ (b * np.uint64(_SECOND)) ^ (b >> np.uint64(7))
 
 
 def pair_key(a: str, b: str) -> int:
-    """A key of 64 bits of two neighbouring words."""
-    return _signed(pair_hash(xxhash.xxh64_intdigest(a), xxhash.xxh64_intdigest(b)))
+    """A key of 64 bits of two neighbouring words; as :func:`pair_hash`, signed."""
+    x, y = xxhash.xxh64_intdigest(a), xxhash.xxh64_intdigest(b)
+    h = (x * _FIRST & _MASK) ^ (y * _SECOND & _MASK) ^ (y >> 7)
+    return h - (1 << 64) if h >> 63 else h
 
 
 def corpus_counts(df: DataFrame, text: str) -> DataFrame:
@@ -198,20 +199,26 @@ def corpus_counts(df: DataFrame, text: str) -> DataFrame:
     def count(cols: dict[str, list]) -> dict[str, list]:
         if len(hashes) > 500_000:
             hashes.clear()
-        words: dict[str, int] = {}
-        pairs: dict[int, int] = {}
+        number: dict[str, int] = defaultdict()
+        number.default_factory = number.__len__
+        seen: list[int] = []
         for t in cols[text]:
-            before = None
-            for w in tokens(t) if t else ():
-                words[w] = words.get(w, 0) + 1
-                h = hashes.get(w)
-                if h is None:
-                    h = hashes[w] = xxhash.xxh64_intdigest(w)
-                if before is not None:
-                    k = pair_hash(before, h)
-                    pairs[k] = pairs.get(k, 0) + 1
-                before = h
-        return {"word": [*words, *[None] * len(pairs)], "pair": [*[None] * len(words), *map(_signed, pairs)], "n": [*words.values(), *pairs.values()]}
+            if t:
+                seen += [number[w] for w in tokens(t)]
+                seen.append(-1)
+        at = np.array(seen, np.int64)
+        words = list(number)
+        own = np.bincount(at[at >= 0], minlength=len(words))
+        for w in words:
+            if w not in hashes:
+                hashes[w] = xxhash.xxh64_intdigest(w)
+        h = np.array([hashes[w] for w in words], np.uint64)
+        both = (at[:-1] >= 0) & (at[1:] >= 0) if len(at) else np.empty(0, bool)
+        pairs, n = np.unique(at[:-1][both] * max(1, len(words)) + at[1:][both], return_counts=True)
+        with np.errstate(over="ignore"):
+            keys = pair_hash(h[pairs // max(1, len(words))], h[pairs % max(1, len(words))]) if len(pairs) else np.empty(0, np.uint64)
+        none = [None] * len(pairs)
+        return {"word": words + none, "pair": [None] * len(words) + keys.view(np.int64).tolist(), "n": own.tolist() + n.tolist()}
 
     return hub(arrow_map(df.select(text), count, "word string, pair bigint, n bigint").groupBy("word", "pair").agg(F.sum("n").alias("n")))
 
@@ -453,7 +460,7 @@ def cleaned(rest: str, block_type: str | None, channel: Channel) -> str:
 
 def spoken(row: dict) -> list[list[str]]:
     """The words of the running text and of the headers of a block that are read through the channel."""
-    return [] if row["fixed"] else [tokens(t) for t in (row["rest"], row["headers"]) if t]
+    return [t.split(" ") for t in (row["words"], row["headers"]) if t]
 
 
 # --- over tables -----------------------------------------------------------------------------------------------------
@@ -493,16 +500,19 @@ def scanned_blocks(blocks: DataFrame, pages: DataFrame, books: DataFrame, toc: D
 
 
 def _lines(blocks: DataFrame, pages: DataFrame, books: DataFrame, toc: DataFrame) -> DataFrame:
-    """Rows (id, block_type, sorts, rest, headers, fixed, chunk): what the lines of the blocks on scanned pages show."""
+    """Rows (id, block_type, sorts, rest, words, headers, fixed, chunk): what the lines of the blocks on scanned pages show,
+    with the words of running text and of headers, a blank between them."""
 
     def look(cols: dict[str, list]) -> dict[str, list]:
         out = []
         for raw, kind, book, st, known in zip(*(cols[c] for c in ("raw", "block_type", "book_id", "starts", "known"))):
-            out.append(looked_at(raw, kind, Titles(book, set(known or ())), {read_form(title_form(x)) for x in st or ()}))
-        return {"id": cols["id"], "block_type": cols["block_type"], **{n: [o[i] for o in out] for i, n in enumerate(("sorts", "rest", "headers", "fixed"))}}
+            sorts, rest, headers, fixed = looked_at(raw, kind, Titles(book, set(known or ())), {read_form(title_form(x)) for x in st or ()})
+            out.append((sorts, rest, "" if fixed else " ".join(tokens(rest)), " ".join(tokens(headers)) if headers else "", fixed))
+        return {"id": cols["id"], "block_type": cols["block_type"], **{n: [o[i] for o in out] for i, n in enumerate(("sorts", "rest", "words", "headers", "fixed"))}}
 
-    rows = arrow_map(scanned_blocks(blocks, pages, books, toc).select("id", "raw", "block_type", "book_id", "starts", "known"), look, "id bigint, block_type string, sorts array<string>, rest string, headers string, fixed boolean")
-    return deal(rows, "id", "rest", "headers")
+    rows = arrow_map(scanned_blocks(blocks, pages, books, toc).select("id", "raw", "block_type", "book_id", "starts", "known"), look, "id bigint, block_type string, sorts array<string>, rest string, words string, headers string, fixed boolean")
+    # of all blocks: more than those on scanned pages have, for which they would have to be looked at twice
+    return deal(rows, "id", blocks.agg(F.sum(F.length("raw_text"))).first()[0] or 0)
 
 
 def _read(lines: DataFrame, blocks: DataFrame, fn, more, schema: str) -> DataFrame:
@@ -537,7 +547,7 @@ def found(blocks: DataFrame, pages: DataFrame, books: DataFrame, toc: DataFrame)
         if any(misread(t, channel) for t in spoken(r)):
             yield r["id"], "char"
 
-    return _read(_lines(blocks, pages, books, toc), blocks, sorts, lambda r: (), "block_uid bigint, noise string").distinct()
+    return _read(_lines(blocks, pages, books, toc).drop("rest"), blocks, sorts, lambda r: (), "block_uid bigint, noise string").distinct()
 
 
 def repaired(blocks: DataFrame, pages: DataFrame, books: DataFrame, toc: DataFrame) -> DataFrame:

@@ -69,3 +69,15 @@ def test_misreadings_are_found_at_any_size_of_the_corpus(spark):
         rows += [(10_000 + i, "b", 0, "Nobody asked why fhe lantern stays under the tablc.", "paragraph", "", "", 0) for i in range(times)]
         got = S.found(*tables(spark, rows)).where("noise = 'char'").count()
         assert got == times, times
+
+
+def test_chunks_of_any_size_give_the_same(spark, monkeypatch):
+    from quire.llm import lookup
+
+    rows = [(i, "b", 2, " ".join(SENT * 2), "paragraph", "", "", 0) for i in range(40)]
+    rows += [(1000 + i, "b", 0, t, "paragraph", "", "", 0) for i, t in enumerate(["Most readers assurne that fhe market follows the river.", "A small train\n12\ncrossed the bridgc before dawn.", "Nobody askcd why the lan-\ntern stays."] * 4)]
+    got = []
+    for size in (4_000_000, 60):
+        monkeypatch.setattr(lookup, "CHUNK", size)
+        got.append(sorted(tuple(r) for r in S.found(*tables(spark, rows)).collect()))
+    assert got[0] == got[1] and len(got[0]) == 4 * 5
