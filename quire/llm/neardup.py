@@ -37,6 +37,8 @@ MOST_WORDS = 100_000
 SHARE, KEPT, HEAVY = 5e-6, 400_000, 1e-4
 #: A node with more sets goes one run deeper, this many times, and is dealt out in blocks of this size then.
 BIG, DEEP = 4_000, 2
+#: Copies of one text that a task pairs with all others.
+COPIES = 2_000
 #: Subtrees of this many sets are joined set by set.
 SMALL = 6
 _EXTRA = 3  # runs after the prefix that a path carries along
@@ -456,8 +458,12 @@ def pairs(df: DataFrame, key: str, text: str, threshold: float = 0.8, n: int = 5
     one = own.select(F.col("id").alias("p"), F.col("cls").alias("a"))
     two = own.select(F.col("id").alias("q"), F.col("cls").alias("b"))
     across = sim.join(one, "a").join(two, "b").select("p", "q")
+    # copies of one text meet in parts, so that no task pairs more than COPIES of them with the rest
+    parts = F.ceil(F.col("k") / COPIES).cast("int")
     same = own.where("k > 1")
-    within = same.select(F.col("id").alias("p"), "cls").join(same.select(F.col("id").alias("q"), "cls"), "cls").where("p < q").select("p", "q")
+    left = same.select(F.col("id").alias("p"), "cls", F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"))
+    right = same.select(F.col("id").alias("q"), "cls", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    within = left.join(right, ["cls", "part"]).where("p < q").select("p", "q")
     return across.unionByName(within).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 

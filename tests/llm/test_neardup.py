@@ -49,7 +49,8 @@ def test_against_brute_force(spark, monkeypatch, n, least, threshold, big, heavy
     assert set(groups) == {x for p in want for x in p} and all(groups[a] == groups[b] for a, b in want)
 
 
-def test_many_copies_of_one_text_and_empty_table(spark):
+def test_many_copies_of_one_text_and_empty_table(spark, monkeypatch):
+    monkeypatch.setattr(N, "COPIES", 7)
     text = " ".join(f"w{i}" for i in range(40))
     df = spark.createDataFrame([(i, text, i, "", "") for i in range(60)] + [(99, "one " * 100_000, 1, "", "")], SCHEMA)
     assert N.pairs(df, "block_uid", "clean_text", 0.8, 3, 25).count() == 60 * 59 // 2
