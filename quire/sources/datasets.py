@@ -140,3 +140,12 @@ def preview(spark: SparkSession, path: str, offset: int = 0, limit: int = 10) ->
             except ValueError:
                 out.append({"raw_line": r.value})
     return out, lines.count()
+
+
+def audit(spark: SparkSession, root: str) -> tuple[int, int]:
+    """How many folders right under ``root`` are finished, and how many aren't."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(root)
+    fs = where.getFileSystem(conf)
+    done = [fs.exists(jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS")) for f in (fs.listStatus(where) if fs.exists(where) else ()) if f.isDirectory()]
+    return sum(done), len(done) - sum(done)

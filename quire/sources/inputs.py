@@ -2,17 +2,58 @@
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import warnings
+from collections.abc import Iterator
+from urllib.parse import unquote, urlparse
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
 
 
-def collect_files(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFrame:
-    """Rows (path, sha256, size_bytes, dir) of the files under ``path``, one for each path."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
-    digest = F.sha2("content", 256)
-    return files.select("path", digest.alias("sha256"), F.col("length").alias("size_bytes"), F.substring(digest, 1, 12).alias("dir")).dropDuplicates(["path"])
+def collect_files(spark: SparkSession, *paths: str, suffix: str = ".pdf") -> DataFrame:
+    """Rows (path, sha256, size_bytes, dir), one for each file with ``suffix``, in any case for a path that is a file and in
+    lower case for those under a folder. A path that doesn't exist is warned of and left out.
+
+    Tasks stream the files piece by piece, so a file may have any size; all executors must mount the folders.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    there = []
+    for p in paths:
+        where = jvm.org.apache.hadoop.fs.Path(p)
+        fs = where.getFileSystem(conf)
+        if not fs.exists(where):
+            warnings.warn(f"{p} doesn't exist", stacklevel=2)
+        elif fs.getFileStatus(where).isDirectory():
+            there.append(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(p))
+        elif p.lower().endswith(suffix):
+            there.append(spark.read.format("binaryFile").load(p))
+    schema = "path string, sha256 string, size_bytes bigint"
+    if not there:
+        return spark.createDataFrame([], schema + ", dir string")
+    found = functools.reduce(DataFrame.unionByName, [t.select("path", "length") for t in there]).dropDuplicates(["path"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            digests = []
+            for p in b.column(0).to_pylist():
+                h = hashlib.sha256()
+                with open(unquote(urlparse(p).path), "rb") as f:
+                    while piece := f.read(1 << 22):
+                        h.update(piece)
+                digests.append(h.hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digests, pa.string()), b.column(1)], names=["path", "sha256", "size_bytes"])
+
+    return found.mapInArrow(run, schema).withColumn("dir", F.substring("sha256", 1, 12))
+
+
+def inbox(spark: SparkSession, folder: str, suffix: str = ".pdf") -> DataFrame:
+    """Files as they arrive in ``folder``: a stream of (path, modificationTime, length)."""
+    return spark.readStream.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder).select("path", "modificationTime", "length")
 
 
 def register(found: DataFrame, known: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
+import hashlib
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from quire.sources import datasets, inputs
@@ -25,11 +27,39 @@ def test_registering_is_idempotent(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"one")
     (tmp_path / "b.pdf").write_bytes(b"one")
     (tmp_path / "c.txt").write_bytes(b"two")
+    (tmp_path / "D x.PDF").write_bytes(b"three")
+    with pytest.warns(UserWarning, match="doesn't exist"):
+        found = inputs.collect_files(spark, str(tmp_path), str(tmp_path / "a.pdf"), str(tmp_path / "D x.PDF"), str(tmp_path / "gone.pdf"))
+    got = {r.path.rsplit("/", 1)[1]: (r.sha256, r.size_bytes, r.dir) for r in found.collect()}
+    digest = lambda x: hashlib.sha256(x).hexdigest()
+    assert got == {"a.pdf": (digest(b"one"), 3, digest(b"one")[:12]), "b.pdf": (digest(b"one"), 3, digest(b"one")[:12]), "D x.PDF": (digest(b"three"), 5, digest(b"three")[:12])}
     found = inputs.collect_files(spark, str(tmp_path))
     new = inputs.register(found, spark.createDataFrame([], "sha256 string"))
     assert new.count() == 1 and inputs.register(found, new).count() == 0
 
 
+def test_inbox(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"one")
+    (tmp_path / "b.txt").write_bytes(b"two")
+    assert [r.path.rsplit("/", 1)[1] for r in events.drain(inputs.inbox(spark, str(tmp_path)), "append").collect()] == ["a.pdf"]
+
+
+def test_pages_in_shards(spark, tmp_path):
+    from quire.sources.pages import PageSource
+
+    spark.dataSource.register(PageSource)
+    (tmp_path / "a.txt").write_text("# One\nbody\f" + "".join(f"page {i}\f" for i in range(5)) + "## Two\n#  \nlast ü", encoding="utf-8")
+    (tmp_path / "b.txt").write_text(" \n\f", encoding="utf-8")
+    (tmp_path / "c.txt").write_text("", encoding="utf-8")
+    df = spark.read.format("quire_pages").option("path", str(tmp_path)).option("shard_pages", 3).load()
+    got = sorted((r.path[-5:], r.page_idx, r.text, r.char_count, r.is_scanned) for r in df.collect())
+    assert [g[:2] for g in got] == [("a.txt", i) for i in range(7)] + [("b.txt", 0)] and df.rdd.getNumPartitions() == 4
+    assert got[1][2:] == ("page 0", 6, False) and got[6][2].endswith("ü") and got[7][2:] == (None, 0, True)
+    toc = spark.read.format("quire_pages").option("path", str(tmp_path)).option("table", "toc").load()
+    assert sorted((r.path[-5:], r.toc_ord, r.title, r.level, r.page_idx) for r in toc.collect()) == [("a.txt", 0, "One", 0, 0), ("a.txt", 1, "Two", 1, 6)]
+    assert spark.read.format("quire_pages").option("path", str(tmp_path / "none")).load().count() == 0
+
+
 def test_text_pages(spark):
     p = spark.createDataFrame([("a", 0, "Head\n\nbody text.\n"), ("a", 1, None)], "book_id string, page_idx int, text string")
     got = inputs.text_pages(p).orderBy("blk_ord").collect()
@@ -78,6 +108,7 @@ def test_documents_and_partial_writes(spark, tmp_path):
     assert datasets.latest_stage(spark, root, "done") is None
     spark.range(3).write.parquet(root + "/k1")
     assert datasets.latest_stage(spark, root, "k1") == root + "/k1" and datasets.latest_stage(spark, root, "k0") is None
+    assert datasets.audit(spark, root) == (1, 1) and datasets.audit(spark, root + "/none") == (0, 0)
 
 
 def test_tail_hands_on_every_event(spark, tmp_path):
