@@ -53,7 +53,7 @@ def collect_files(spark: SparkSession, *paths: str, suffix: str = ".pdf") -> Dat
 
 def inbox(spark: SparkSession, folder: str, suffix: str = ".pdf") -> DataFrame:
     """Files as they arrive in ``folder``: a stream of (path, modificationTime, length)."""
-    return spark.readStream.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder).select("path", "modificationTime", "length")
+    return spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary").option("pathGlobFilter", f"*{suffix}").load(folder).select("path", "modificationTime", "length")
 
 
 def register(found: DataFrame, known: DataFrame) -> DataFrame:
